@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corpuslake.functions.keys import blank_to_null, strip
-from corpuslake.settings import RARE_TERM_CHARS, SNIPPET_CHARS
+from corpuslake.settings import LAKE_NAME, RARE_TERM_CHARS, SNIPPET_CHARS
 
 # --- Fixed values: word lists, token and HTML patterns -------------------------
 # Words a question is stripped of before the lexical search.
@@ -22,7 +22,7 @@ QUESTION_STOP_WORDS = frozenset(
     dit parle selon donne corpus flux rss aujourd hui aujourd'hui
     article articles question réponse
     """.split()
-)
+) | {LAKE_NAME}
 QUESTION_TOKEN = r"[0-9A-Za-zÀ-ÿ_-]+"
 WORD_TOKEN = r"[\p{L}\p{N}]+"
 # Stop words of the per-language analysis (the usual English and French lists).

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from corpuslake.functions.keys import blank_to_null, first_filled, strip
 from corpuslake.operators.fusion import citation_label, numbered
-from corpuslake.settings import UNKNOWN_URI, UNTITLED
+from corpuslake.settings import LAKE_NAME, UNKNOWN_URI, UNTITLED
 
 # --- Fixed values: answer formats ---------------------------------------------
-SOURCES_HEADING = "**Sources**"
-FOOTER_START = "\n\n---\n" + SOURCES_HEADING
+SOURCES_MARK = f"Sources {LAKE_NAME}"
+FOOTER_START = f"\n\n---\n**{SOURCES_MARK}**"
 RETRIEVE_ONLY_PREFIX = "(retrieve seul)\n"
 PROMPT_HEADING = "Extraits du corpus :\n\n"
 PROMPT_QUESTION = "\n\nQuestion : "

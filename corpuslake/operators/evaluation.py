@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuslake.operators.answers import REFUSAL, SOURCES_HEADING
+from corpuslake.operators.answers import REFUSAL, SOURCES_MARK
 
 # --- Fixed values: allowed labels ----------------------------------------------
 EXPECTATIONS = ("grounded", "refuse")
@@ -23,8 +23,7 @@ def case_problem() -> Column:
 
 
 def has_citation(answer: Column) -> Column:
-    marker = SOURCES_HEADING.strip("*")
-    return F.coalesce(answer.contains("[1]") | answer.contains(marker), F.lit(False))
+    return F.coalesce(answer.contains("[1]") | answer.contains(SOURCES_MARK), F.lit(False))
 
 
 def score_cases(
