@@ -171,7 +171,7 @@ def html_text(html: Column) -> Column:
     plain = F.regexp_replace(F.regexp_replace(body, BLOCK_TAG, "\n"), ANY_TAG, "")
     lines = F.transform(
         F.split(unescape(plain), "\n"),
-        lambda line: F.trim(F.regexp_replace(line, r"[\s ]+", " ")),
+        lambda line: F.trim(F.regexp_replace(line, "[\\s\u00a0]+", " ")),
     )
     kept = F.array_distinct(F.filter(lines, lambda line: line != ""))
     return blank_to_null(F.array_join(kept, "\n"))

@@ -99,6 +99,10 @@ def field_stats(tokens: DataFrame) -> DataFrame:
     )
 
 
+def term_bucket(term: Column, buckets: Column) -> Column:
+    return F.pmod(F.xxhash64(term), buckets).cast("int")
+
+
 @dataclass(frozen=True)
 class LexicalIndex:
     """The tables a search needs; build them once and keep them as partitioned files.
@@ -112,34 +116,31 @@ class LexicalIndex:
     field_stats: DataFrame
     lang: str | None = None
 
-    BUCKETS = 256
-
     @classmethod
     def build(cls, documents: DataFrame, lang: str | None = None, stemmer=None) -> LexicalIndex:
         tokens = field_tokens(search_fields(documents, lang), lang, stemmer)
         entries = postings(tokens)
         return cls(entries, term_stats(entries), field_stats(tokens), lang)
 
-    @staticmethod
-    def bucket(term: Column) -> Column:
-        return F.pmod(F.xxhash64(term), F.lit(LexicalIndex.BUCKETS)).cast("int")
-
-    def write(self, path: str) -> None:
+    def write(self, path: str, buckets: int = 256) -> None:
         """Store the tables; frequent terms are split over several files by size."""
+        bucket = term_bucket(F.col("term"), F.lit(buckets))
         (
-            self.postings.withColumn("term_bucket", self.bucket(F.col("term")))
+            self.postings.withColumn("term_bucket", bucket)
             .hint("rebalance", "term_bucket")
             .sortWithinPartitions("term_bucket", "term", "content_hash")
             .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/postings")
         )
         stored = self.postings.sparkSession.read.parquet(f"{path}/postings")
         (
-            term_stats(stored).withColumn("term_bucket", self.bucket(F.col("term")))
+            term_stats(stored).withColumn("term_bucket", bucket)
             .hint("rebalance", "term_bucket")
             .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/term_stats")
         )
         lengths = stored.select("content_hash", "field", F.col("dl")).distinct()
-        field_stats(lengths).coalesce(1).write.mode("overwrite").parquet(f"{path}/field_stats")
+        field_stats(lengths).withColumn("n_buckets", F.lit(buckets)).write.mode("overwrite").parquet(
+            f"{path}/field_stats"
+        )
 
     @classmethod
     def read(cls, spark, path: str, lang: str | None = None) -> LexicalIndex:
@@ -287,7 +288,8 @@ def search_index(
         keys = terms.select("term").distinct()
         on = ["term"]
         if "term_bucket" in index.postings.columns:
-            keys = keys.withColumn("term_bucket", LexicalIndex.bucket(F.col("term")))
+            buckets = index.field_stats.agg(F.max("n_buckets")).scalar()
+            keys = keys.withColumn("term_bucket", term_bucket(F.col("term"), buckets))
             on = ["term_bucket", "term"]
         keys = F.broadcast(keys)
         stats = index.term_stats.join(keys, on, "left_semi").join(
