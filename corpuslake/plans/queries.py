@@ -301,8 +301,8 @@ def contract_violations(spark, sf):
 
 def contract_error_counts(spark, sf):
     """How often each field breaks the contract."""
-    errors = rules.with_violations(mutated_silver(spark, sf), "raw_json", "silver", "e").select(F.inline("e"))
-    return errors.groupBy("path").agg(F.count("*").alias("n"))
+    errors = mutated_silver(spark, sf).select(F.explode(rules.violations("raw_json", "silver")).alias("e"))
+    return errors.groupBy(F.col("e.path").alias("path")).agg(F.count("*").alias("n"))
 
 
 def contract_audit(spark, sf):
