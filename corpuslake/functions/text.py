@@ -79,6 +79,32 @@ def words(col: Column) -> Column:
     return F.regexp_extract_all(F.lower(col), F.lit(WORD_TOKEN), F.lit(0))
 
 
+def term_counts(tokens: Column) -> Column:
+    """Distinct tokens with their counts, as ``array<struct<term, tf>>``.
+
+    The tokens are sorted, and the counts are the distances between the places where
+    the token changes. This needs no grouping across rows, hence no shuffle.
+    """
+
+    def runs(sorted_: Column) -> Column:
+        starts = F.filter(
+            F.sequence(F.lit(0), F.size(sorted_) - 1),
+            lambda i: (i == 0) | (F.get(sorted_, i) != F.get(sorted_, i - 1)),
+        )
+        return bind(
+            starts,
+            lambda at: F.transform(
+                at,
+                lambda p, j: F.struct(
+                    F.get(sorted_, p).alias("term"),
+                    (F.coalesce(F.get(at, j + 1), F.size(sorted_)) - p).cast("long").alias("tf"),
+                ),
+            ),
+        )
+
+    return F.when(F.size(tokens) > 0, bind(F.sort_array(tokens), runs))
+
+
 def analyzed(
     col: Column, lang: str | None = None, stemmer: Callable[[Column], Column] | None = None
 ) -> Column:
@@ -135,6 +161,11 @@ ANY_TAG = r"</?[A-Za-z!][^>]*>"
 ARTICLE = r"(?is)<article\b[^>]*>(.*)</article\s*>"
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _numeric_entities(col: Column) -> Column:
     """Replace ``&#233;`` and ``&#xE9;`` by the characters they stand for."""
 
@@ -147,16 +178,26 @@ def _numeric_entities(col: Column) -> Column:
             F.concat(char, F.regexp_replace(piece, r"^[xX]?[0-9A-Fa-f]+;", ""))
         )
 
-    pieces = F.split(col, "&#")
-    head = F.element_at(pieces, 1)
-    tail = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decoded)
-    return F.when(col.contains("&#"), F.concat(head, F.array_join(tail, ""))).otherwise(col)
+    def joined(pieces: Column) -> Column:
+        tail = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decoded)
+        return F.concat(F.element_at(pieces, 1), F.array_join(tail, ""))
+
+    return F.when(col.contains("&#"), bind(F.split(col, "&#"), joined)).otherwise(col)
 
 
 def unescape(col: Column) -> Column:
-    for name, char in NAMED_ENTITIES.items():
-        col = F.replace(col, F.lit(f"&{name};"), F.lit(char))
-    return F.replace(_numeric_entities(col), F.lit("&amp;"), F.lit("&"))
+    """Named and numeric entities as characters; text without any is left alone."""
+
+    def replaced(value: Column) -> Column:
+        named = value
+        for name, char in NAMED_ENTITIES.items():
+            named = F.replace(named, F.lit(f"&{name};"), F.lit(char))
+        plain = bind(named, _numeric_entities)
+        return F.when(
+            value.contains("&"), F.replace(plain, F.lit("&amp;"), F.lit("&"))
+        ).otherwise(value)
+
+    return bind(col, replaced)
 
 
 def html_text(html: Column) -> Column:
@@ -165,9 +206,13 @@ def html_text(html: Column) -> Column:
     Comments, tables, scripts, navigation and advertising are dropped, the article
     element is preferred when there is one, and repeated lines are kept once.
     """
-    body = F.regexp_replace(html, DROPPED, "")
-    article = F.regexp_extract(body, ARTICLE, 1)
-    body = F.when(article != "", article).otherwise(body)
+
+    def main_part(body: Column) -> Column:
+        return bind(
+            F.regexp_extract(body, ARTICLE, 1), lambda a: F.when(a != "", a).otherwise(body)
+        )
+
+    body = bind(F.regexp_replace(html, DROPPED, ""), main_part)
     plain = F.regexp_replace(F.regexp_replace(body, BLOCK_TAG, "\n"), ANY_TAG, "")
     lines = F.transform(
         F.split(unescape(plain), "\n"),

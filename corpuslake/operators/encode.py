@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +38,15 @@ def hashing_encoder(dims: int = EMBEDDING_DIMS) -> EncoderFactory:
             return int(digest[:8], 16) % dims, 1.0 if digest[8] < "8" else -1.0
 
         def encode(texts: list) -> np.ndarray:
-            out = np.zeros((len(texts), dims))
+            at, weight = [], []
             for row, text in enumerate(texts):
-                counts: dict[str, int] = {}
-                for token in word.findall((text or "").strip().lower()):
-                    counts[token] = counts.get(token, 0) + 1
-                for token, n in counts.items():
-                    at, sign = slot(token)
-                    out[row, at] += sign * (1.0 + np.log(n))
+                base = row * dims
+                for token, n in Counter(word.findall((text or "").lower())).items():
+                    place, sign = slot(token)
+                    at.append(base + place)
+                    weight.append(sign * (1.0 + log(n)))
+            size = len(texts) * dims
+            out = np.bincount(np.array(at, np.int64), weight, size).reshape(len(texts), dims)
             norms = np.linalg.norm(out, axis=1, keepdims=True)
             return out / np.where(norms == 0.0, 1.0, norms)
 

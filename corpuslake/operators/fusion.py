@@ -121,12 +121,14 @@ def hybrid_retrieve(
     settings: RetrievalSettings | None = None,
     encoder: encode.EncoderFactory | None = None,
     index: lexical.LexicalIndex | None = None,
+    payload: DataFrame | None = None,
 ) -> DataFrame:
     """Passages for a batch of ``(query_id, question)``, best first.
 
     The cut to ``top_k`` precedes the relevance gate, so a query may keep fewer.
     ``documents`` are lexical documents and ``chunk_vectors`` chunks with an
-    ``embedding``; a stored ``index`` replaces the scan of the documents.
+    ``embedding``; a stored ``index`` replaces the scan of the documents. ``payload``
+    holds the chunks' texts where ``chunk_vectors`` does not.
     """
     settings = settings or RetrievalSettings()
     branches = []
@@ -137,11 +139,11 @@ def hybrid_retrieve(
             if index is not None
             else lexical.search(questions, documents, depth, settings.lang, rewrite=True)
         )
-        branches.append(lexical_passages(lexical.with_hits(ranked, documents)))
+        branches.append(lexical_passages(lexical.with_hits(ranked, documents, questions, rewrite=True)))
     if settings.vector:
         wanted = encode.encode(questions, "question", "embedding", encoder)
         ranked = vector.cosine_top_k(wanted, chunk_vectors, settings.per_engine, settings.lang)
-        branches.append(vector_passages(vector.with_payload(ranked, chunk_vectors)))
+        branches.append(vector_passages(vector.with_payload(ranked, chunk_vectors if payload is None else payload)))
     passages = branches[0] if len(branches) == 1 else branches[0].unionByName(branches[1])
     return relevant(fuse(passages, settings.top_k, settings.rrf_k), settings.min_vector_score)
 

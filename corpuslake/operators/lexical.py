@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslake.functions.keys import first_filled
-from corpuslake.functions.text import analyzed, lexical_query, snippet
-from corpuslake.session import fits
+from corpuslake.functions.text import analyzed, lexical_query, snippet, term_counts, words
+from corpuslake.session import fits, written
 from corpuslake.settings import (
     ANALYZED_LANGS,
     BM25_B,
@@ -62,8 +62,8 @@ def search_fields(documents: DataFrame, lang: str | None) -> DataFrame:
     return documents.select("content_hash", "title", "text")
 
 
-def field_tokens(fields: DataFrame, lang: str | None = None, stemmer=None) -> DataFrame:
-    """``(content_hash, field, dl, tokens)`` for every field that has a token."""
+def field_terms(fields: DataFrame, lang: str | None = None, stemmer=None) -> DataFrame:
+    """``(content_hash, field, dl, terms)`` for every field that has a token."""
     analysis = lang if lang in ANALYZED_LANGS else None
     arrays = F.array(
         *[
@@ -71,20 +71,15 @@ def field_tokens(fields: DataFrame, lang: str | None = None, stemmer=None) -> Da
             for f in FIELDS
         ]
     )
-    return (
-        fields.select("content_hash", F.inline(arrays))
-        .withColumn("dl", F.size("tokens"))
-        .filter("dl > 0")
+    tokens = fields.select("content_hash", F.inline(arrays)).filter(F.size("tokens") > 0)
+    return tokens.select(
+        "content_hash", "field", F.size("tokens").alias("dl"), term_counts(F.col("tokens")).alias("terms")
     )
 
 
-def postings(tokens: DataFrame) -> DataFrame:
-    """``(content_hash, field, term, tf, dl)``: the inverted index."""
-    return (
-        tokens.select("content_hash", "field", "dl", F.explode("tokens").alias("term"))
-        .groupBy("content_hash", "field", "dl", "term")
-        .agg(F.count("*").alias("tf"))
-    )
+def postings(terms: DataFrame) -> DataFrame:
+    """``(content_hash, field, dl, term, tf)``: the inverted index, without a shuffle."""
+    return terms.select("content_hash", "field", "dl", F.inline("terms"))
 
 
 def term_stats(index: DataFrame) -> DataFrame:
@@ -92,9 +87,9 @@ def term_stats(index: DataFrame) -> DataFrame:
     return index.groupBy("field", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
 
 
-def field_stats(tokens: DataFrame) -> DataFrame:
+def field_stats(terms: DataFrame) -> DataFrame:
     """Number of documents that have the field, and their mean length."""
-    return tokens.groupBy("field").agg(
+    return terms.groupBy("field").agg(
         F.count("*").alias("n_docs"), F.avg("dl").alias("avg_dl"), F.sum("dl").alias("n_tokens")
     )
 
@@ -118,9 +113,9 @@ class LexicalIndex:
 
     @classmethod
     def build(cls, documents: DataFrame, lang: str | None = None, stemmer=None) -> LexicalIndex:
-        tokens = field_tokens(search_fields(documents, lang), lang, stemmer)
-        entries = postings(tokens)
-        return cls(entries, term_stats(entries), field_stats(tokens), lang)
+        terms = field_terms(search_fields(documents, lang), lang, stemmer)
+        entries = postings(terms)
+        return cls(entries, term_stats(entries), field_stats(terms), lang)
 
     def write(self, path: str, buckets: int = 256) -> None:
         """Store the tables; frequent terms are split over several files by size."""
@@ -169,27 +164,25 @@ def _bm25(tf: Column, dl: Column, avg_dl: Column, df: Column, n_docs: Column) ->
     return idf * tf / (tf + BM25_K1 * (1 - BM25_B + BM25_B * dl / avg_dl))
 
 
-def _matches_of_small_batch(tokens: DataFrame, terms: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _matches_of_small_batch(fields: DataFrame, terms: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Matching postings and statistics when the distinct query terms fit in memory.
 
-    The terms are broadcast against the exploded tokens, so only matches leave the
-    scan's stage. A marker term carries every document's length along, which makes
-    one pass yield the matches, the document frequencies and the length averages.
+    The terms are broadcast against the documents' own term counts, so only matches
+    leave the scan's stage. A marker term carries every document's length along: one
+    pass over the corpus, written to the shared folder, yields the matches, the
+    document frequencies and the length averages. Matches are then partitioned by
+    document, so that a document's scores are summed, and each task's best picked,
+    without moving (query, document) pairs.
     """
+    spark = terms.sparkSession
     marker = F.lit("")
-    wanted = F.broadcast(
-        terms.select("term").distinct().union(
-            terms.sparkSession.range(1).select(marker.alias("term"))
-        )
-    )
-    matches = (
-        tokens.select(
-            "content_hash", "field", "dl",
-            F.explode(F.concat(F.array(marker), F.col("tokens"))).alias("term"),
-        )
-        .join(wanted, "term", "left_semi")
-        .groupBy("content_hash", "field", "dl", "term")
-        .agg(F.count("*").alias("tf"))
+    wanted = terms.select("term").distinct().union(spark.range(1).select(marker.alias("term")))
+    own = F.array(F.struct(marker.alias("term"), F.lit(1).cast("long").alias("tf")))
+    matches = written(
+        fields.select("content_hash", "field", "dl", F.inline(F.concat(own, F.col("terms")))).join(
+            F.broadcast(wanted), "term", "left_semi"
+        ),
+        "matches",
     )
     per_term = matches.groupBy("field", "term").agg(
         F.count("*").alias("df"), F.sum("dl").alias("_dl")
@@ -198,7 +191,8 @@ def _matches_of_small_batch(tokens: DataFrame, terms: DataFrame) -> tuple[DataFr
         "field", F.col("df").alias("n_docs"), (F.col("_dl") / F.col("df")).alias("avg_dl")
     )
     stats = per_term.filter(F.col("term") != marker).join(F.broadcast(per_field), "field")
-    return matches, stats.select("field", "term", "df", "n_docs", "avg_dl")
+    hits = matches.filter(F.col("term") != marker).repartition("content_hash")
+    return hits, stats.select("field", "term", "df", "n_docs", "avg_dl")
 
 
 def _score_broadcast(matches: DataFrame, stats: DataFrame, terms: DataFrame) -> DataFrame:
@@ -239,8 +233,8 @@ def _best_field(parts: DataFrame) -> DataFrame:
     score = F.greatest(F.col("_title") * TITLE_BOOST, F.col("_text"))
     return (
         parts.groupBy("query_id", "content_hash")
-        .agg(*per_field, F.min("term").alias("match_term"))
-        .select("query_id", "content_hash", F.round(score, SCORE_DIGITS).alias("score"), "match_term")
+        .agg(*per_field)
+        .select("query_id", "content_hash", F.round(score, SCORE_DIGITS).alias("score"))
     )
 
 
@@ -259,7 +253,7 @@ def search(
     stemmer: Callable[[Column], Column] | None = None,
     max_terms: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """``(query_id, content_hash, score, match_term, rank)`` for a batch of questions.
+    """``(query_id, content_hash, score, rank)`` for a batch of questions.
 
     ``documents`` are those of :func:`lexical_documents`. The ``(query, term)`` pairs
     are counted first: a batch that fits is broadcast, a larger one is joined by
@@ -267,8 +261,8 @@ def search(
     """
     terms = query_terms(questions, rewrite, lang, stemmer)
     if fits(terms, max_terms):
-        tokens = field_tokens(search_fields(documents, lang), lang, stemmer)
-        parts = _score_broadcast(*_matches_of_small_batch(tokens, terms), terms)
+        fields = field_terms(search_fields(documents, lang), lang, stemmer)
+        parts = _score_broadcast(*_matches_of_small_batch(fields, terms), terms)
     else:
         parts = _score_salted(LexicalIndex.build(documents, lang, stemmer), terms)
     return top_k(_best_field(parts), k, "content_hash")
@@ -297,27 +291,35 @@ def search_index(
         ).select("field", "term", "df", "n_docs", "avg_dl")
         entries = index.postings.join(keys, on, "left_semi").select(
             "content_hash", "field", "term", "tf", "dl"
-        )
+        ).repartition("content_hash")
         parts = _score_broadcast(entries, stats, terms)
     else:
         parts = _score_salted(index, terms)
     return top_k(_best_field(parts), k, "content_hash")
 
 
-def with_hits(ranked: DataFrame, documents: DataFrame) -> DataFrame:
+def with_hits(
+    ranked: DataFrame, documents: DataFrame, questions: DataFrame, rewrite: bool = False, lang: str | None = None
+) -> DataFrame:
     """Add the article's metadata and a snippet to ranked hits.
 
-    Hits are at most ``k`` per question, so they are the side Spark broadcasts or
-    shuffles cheaply; the corpus is only scanned.
+    The snippet shows the first of the question's terms, in alphabetical order, that
+    the article holds. Hits are at most ``k`` per question, so they are the side Spark
+    broadcasts or shuffles cheaply; the corpus is only scanned.
     """
-    hits = ranked.join(
+    asked = query_terms(questions, rewrite, lang).groupBy("query_id").agg(
+        F.array_sort(F.collect_list("term")).alias("_terms")
+    )
+    hits = ranked.join(asked, "query_id").join(
         documents.select(
             "content_hash", "feed_id", "title", "content_lang", "canonical_url",
             "silver_s3_uri", "text",
         ),
         "content_hash",
     )
-    return hits.withColumn("snippet", snippet(F.col("text"), F.col("match_term"))).drop("text")
+    held = F.array_union(words(F.col("title")), words(F.col("text")))
+    first = F.array_min(F.array_intersect("_terms", held))
+    return hits.withColumn("snippet", snippet(F.col("text"), first)).drop("text", "_terms")
 
 
 def count_documents(documents: DataFrame | None) -> int:

@@ -140,8 +140,7 @@ def label_centroids(vectors: DataFrame, label: str = "label", column: str = "emb
 
 def with_payload(ranked: DataFrame, chunks: DataFrame, key: str = "chunk_id") -> DataFrame:
     """Add the chunk's text and metadata to ranked hits (at most ``k`` per query)."""
-    drop = [c for c in ("embedding",) if c in chunks.columns]
-    return ranked.join(chunks.drop(*drop), key)
+    return ranked.join(chunks.drop("embedding"), key)
 
 
 def count_points(vectors: DataFrame | None) -> int:

@@ -76,7 +76,7 @@ def silver_envelope(spark, sf):
 
 
 def chunk_uuid5(spark, sf):
-    chunks = chunking.silver_chunks(t.silver(spark, sf))
+    chunks = t.chunks(spark, sf)
     return chunks.select("chunk_id", keys.uuid5_url(F.col("chunk_id")).alias("point_id"))
 
 
@@ -356,7 +356,7 @@ def _silver_objects(spark, sf) -> DataFrame:
         )
         .otherwise(lake.silver_json())
     )
-    return rows.select(F.col("silver_s3_uri").alias("path"), body.alias("raw_json"))
+    return rows.select(F.col("silver_s3_uri").alias("path"), F.explode(F.array(body)).alias("raw_json"))
 
 
 def gold_projection(spark, sf):
@@ -459,7 +459,7 @@ def lang_detect(spark, sf):
 
 
 def chunk_documents(spark, sf):
-    chunks = chunking.silver_chunks(t.silver(spark, sf))
+    chunks = t.chunks(spark, sf)
     return chunks.select(
         "chunk_id", "content_hash", F.col("chunk_index").cast("long").alias("chunk_index"),
         F.col("char_start").cast("long").alias("char_start"), F.col("char_end").cast("long").alias("char_end"),
@@ -489,7 +489,7 @@ def term_stats(spark, sf):
 
 
 def field_stats(spark, sf):
-    tokens = lexical.field_tokens(lexical.search_fields(t.lexical_docs(spark, sf), None))
+    tokens = lexical.field_terms(lexical.search_fields(t.lexical_docs(spark, sf), None))
     return lexical.field_stats(tokens).withColumn("avg_dl", F.round("avg_dl", 6)).withColumn(
         "n_tokens", F.col("n_tokens").cast("long")
     )
@@ -521,9 +521,9 @@ def bm25_index_topk(spark, sf):
 
 def lexical_branch(spark, sf):
     """Rewritten questions, their hits, and a snippet around a matched term."""
-    docs = t.lexical_docs(spark, sf)
-    found = lexical.search(t.questions(spark, sf), docs, DEPTH, rewrite=True)
-    hits = lexical.with_hits(found, docs)
+    docs, asked = t.lexical_docs(spark, sf), t.questions(spark, sf)
+    found = lexical.search(asked, docs, DEPTH, rewrite=True)
+    hits = lexical.with_hits(found, docs, asked, rewrite=True)
     return hits.select(
         "query_id", F.col("rank").cast("long").alias("rank"), "content_hash", "score", "feed_id",
         "title", "content_lang", "snippet",
@@ -575,19 +575,18 @@ def vector_dimensions(spark, sf):
 
 
 def _branches(spark, sf) -> DataFrame:
-    docs, chunks = t.lexical_docs(spark, sf), t.chunk_vectors(spark, sf)
-    asked = t.questions(spark, sf)
-    found = lexical.with_hits(lexical.search(asked, docs, DEPTH, rewrite=True), docs)
-    near = vector.cosine_top_k(encode.encode(asked, "question"), chunks, DEPTH)
+    docs, asked = t.lexical_docs(spark, sf), t.questions(spark, sf)
+    found = lexical.with_hits(lexical.search(asked, docs, DEPTH, rewrite=True), docs, asked, rewrite=True)
+    near = vector.cosine_top_k(encode.encode(asked, "question"), t.chunk_vectors(spark, sf), DEPTH)
     return fusion.lexical_passages(found).unionByName(
-        fusion.vector_passages(vector.with_payload(near, chunks))
+        fusion.vector_passages(vector.with_payload(near, t.chunks(spark, sf)))
     )
 
 
 def _passages(spark, sf, **settings) -> DataFrame:
     return fusion.hybrid_retrieve(
         t.questions(spark, sf), t.lexical_docs(spark, sf), t.chunk_vectors(spark, sf),
-        RetrievalSettings(**settings),
+        RetrievalSettings(**settings), payload=t.chunks(spark, sf),
     )
 
 
@@ -628,7 +627,7 @@ def search_response(spark, sf):
 
 def citations(spark, sf):
     """Passage key and label of every chunk."""
-    chunks = chunking.silver_chunks(t.silver(spark, sf))
+    chunks = t.chunks(spark, sf)
     return chunks.select(
         fusion.passage_key().alias("passage_key"),
         fusion.citation_label(F.col("title"), F.col("chunk_index")).alias("label"),

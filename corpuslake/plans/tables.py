@@ -126,8 +126,13 @@ def lexical_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.lexical_documents(silver(spark, sf_dir))
 
 
+def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.silver_chunks(silver(spark, sf_dir))
+
+
 def chunk_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode.encode(chunking.silver_chunks(silver(spark, sf_dir)))
+    """Chunk vectors with the columns a search filters and orders by."""
+    return encode.encode(chunks(spark, sf_dir).select("chunk_id", "content_lang", "text")).drop("text")
 
 
 def eval_cases(spark: SparkSession, sf_dir: str) -> DataFrame:

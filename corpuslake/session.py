@@ -44,6 +44,16 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` stored once in the shared folder, for plans that read it several times.
+
+    Unlike a cache it survives the loss of executors without being computed again.
+    """
+    folder = shared_folder(df.sparkSession, purpose)
+    df.write.mode("overwrite").parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on the file system it names."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
