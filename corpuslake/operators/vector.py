@@ -37,10 +37,6 @@ def _partial_top_k(vectors: DataFrame, queries: list, k: int, key: str, column:
     per query, so what leaves a task is bounded by ``k`` and the number of queries,
     never by the number of pairs.
     """
-    dims = len(queries[0]["embedding"]) if queries else 0
-    ids = np.array([q["query_id"] for q in queries], dtype=object)
-    matrix = unit_rows(np.array([q["embedding"] for q in queries], dtype=np.float64).reshape(-1, dims))
-    shared = vectors.sparkSession.sparkContext.broadcast((ids, matrix))
     id_type = T.StringType() if queries and isinstance(queries[0]["query_id"], str) else T.LongType()
     schema = T.StructType(
         [
@@ -50,6 +46,12 @@ def _partial_top_k(vectors: DataFrame, queries: list, k: int, key: str, column:
         ]
     )
 
+    if not queries:
+        return vectors.sparkSession.createDataFrame([], schema)
+    dims = len(queries[0]["embedding"])
+    ids = [q["query_id"] for q in queries]
+    matrix = unit_rows(np.array([q["embedding"] for q in queries], dtype=np.float64))
+    shared = vectors.sparkSession.sparkContext.broadcast((ids, matrix))
     id_arrow = pa.string() if id_type == T.StringType() else pa.int64()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
