@@ -60,6 +60,15 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below ``path``, none when it does not exist."""
+    if not folder_exists(spark, path):
+        return []
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    return [status.getPath().getName() for status in listed]
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use every core when the input has fewer splits than the cluster has slots.
 
