@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from corpuslake.functions.keys import blank_to_null, first_filled, uri_key
 from corpuslake.operators.dedup import first_per_key
+from corpuslake.operators.joins import lookup
+from corpuslake.session import broadcast_if_small
 from corpuslake.settings import (
     PAGE_LIMIT_DEFAULT,
     PAGE_LIMIT_MAX,
@@ -116,9 +118,12 @@ def feed_summary(catalog: DataFrame) -> DataFrame:
 def resolve_feed_lang(catalog: DataFrame, feeds: DataFrame) -> DataFrame:
     """Feed language of every row: catalog value, registry value, or ``und``.
 
-    The registry has one row per feed; its size decides the join strategy.
+    The registry has one row per feed and is broadcast after its rows are counted, so a
+    feed with much of the catalog does not gather in one task.
     """
-    registry = feeds.select(F.col("id").alias("feed_id"), F.col("lang").alias("_lang"))
+    registry = broadcast_if_small(
+        feeds.select(F.col("id").alias("feed_id"), F.col("lang").alias("_lang"))
+    )
     return (
         catalog.join(registry, "feed_id", "left")
         .withColumn("feed_lang", first_filled(F.col("feed_lang"), F.col("_lang"), F.lit(UNKNOWN_LANG)))
@@ -178,7 +183,7 @@ def read_silver(
         F.col("content_hash").alias("_hash"),
         F.struct("title", "url", "feed_id", "status", "silver_s3_uri").alias("_row"),
     )
-    located = wanted.join(known, "_hash", "left").withColumn(
+    located = lookup(wanted, known, "_hash").withColumn(
         "_at", F.coalesce("_uri", F.col("_row.silver_s3_uri"))
     )
     bodies = silver.select(
@@ -201,7 +206,7 @@ def read_silver(
     )
     doc = lambda name: F.when(F.col("error").isNull(), F.col(f"_doc.{name}"))
     return (
-        located.join(bodies, "_at", "left")
+        lookup(located, bodies, "_at")
         .withColumn("error", error)
         .select(
             "request_id",

@@ -304,9 +304,10 @@ def with_hits(
     """Add the article's metadata and a snippet to ranked hits.
 
     The snippet shows the first of the question's terms, in alphabetical order, that
-    the article holds. Hits are at most ``k`` per question, so they are the side Spark
-    broadcasts or shuffles cheaply; the corpus is only scanned.
+    the article holds. Hits are at most ``k`` per question; they are stored first, so
+    that Spark knows their size and scans the corpus past them rather than shuffle it.
     """
+    ranked = written(ranked, "hits")
     asked = query_terms(questions, rewrite, lang).groupBy("query_id").agg(
         F.array_sort(F.collect_list("term")).alias("_terms")
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuslake.operators.lexical import top_k
-from corpuslake.session import shared_folder
+from corpuslake.session import shared_folder, written
 from corpuslake.settings import MAX_QUERY_BLOCK, SCORE_DIGITS
 
 ROWS_PER_PRODUCT = 4096
@@ -141,8 +141,11 @@ def label_centroids(vectors: DataFrame, label: str = "label", column: str = "emb
 
 
 def with_payload(ranked: DataFrame, chunks: DataFrame, key: str = "chunk_id") -> DataFrame:
-    """Add the chunk's text and metadata to ranked hits (at most ``k`` per query)."""
-    return ranked.join(chunks.drop("embedding"), key)
+    """Add the chunk's text and metadata to ranked hits.
+
+    They are at most ``k`` per query and stored first, as in the lexical search.
+    """
+    return written(ranked, "near").join(chunks.drop("embedding"), key)
 
 
 def count_points(vectors: DataFrame | None) -> int:
