@@ -23,6 +23,8 @@ from corpuslake.settings import (
 )
 
 FIELDS = ("title", "text")
+# A term no analysis yields; its one entry per document and field carries the length.
+MARKER = ""
 # Spreads the postings of one term over this many join keys when the query terms
 # are too many to broadcast.
 SALTS = 64
@@ -94,6 +96,10 @@ def field_stats(terms: DataFrame) -> DataFrame:
     )
 
 
+def marker_entry() -> Column:
+    return F.array(F.struct(F.lit(MARKER).alias("term"), F.lit(1).cast("long").alias("tf")))
+
+
 def term_bucket(term: Column, buckets: Column) -> Column:
     return F.pmod(F.xxhash64(term), buckets).cast("int")
 
@@ -117,30 +123,44 @@ class LexicalIndex:
         entries = postings(terms)
         return cls(entries, term_stats(entries), field_stats(terms), lang)
 
-    def write(self, path: str, buckets: int = 256) -> None:
-        """Store the tables; frequent terms are split over several files by size."""
+    @classmethod
+    def write(
+        cls, documents: DataFrame, path: str, lang: str | None = None, stemmer=None, buckets: int = 256
+    ) -> None:
+        """Build and store the tables in one pass over the documents.
+
+        Files are rebalanced by size, so a frequent term is split over several. The
+        statistics are then taken from the stored postings; the marker term, one row
+        per document and field, yields the lengths without grouping by document.
+        """
+        spark = documents.sparkSession
         bucket = term_bucket(F.col("term"), F.lit(buckets))
+        terms = field_terms(search_fields(documents, lang), lang, stemmer)
         (
-            self.postings.withColumn("term_bucket", bucket)
+            postings(terms.withColumn("terms", F.concat(marker_entry(), "terms")))
+            .withColumn("term_bucket", bucket)
             .hint("rebalance", "term_bucket")
             .sortWithinPartitions("term_bucket", "term", "content_hash")
             .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/postings")
         )
-        stored = self.postings.sparkSession.read.parquet(f"{path}/postings")
+        stored = spark.read.parquet(f"{path}/postings")
         (
-            term_stats(stored).withColumn("term_bucket", bucket)
+            term_stats(stored.filter(F.col("term") != MARKER)).withColumn("term_bucket", bucket)
             .hint("rebalance", "term_bucket")
             .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/term_stats")
         )
-        lengths = stored.select("content_hash", "field", F.col("dl")).distinct()
-        field_stats(lengths).withColumn("n_buckets", F.lit(buckets)).write.mode("overwrite").parquet(
+        marked = stored.filter(
+            (F.col("term") == MARKER) & (F.col("term_bucket") == term_bucket(F.lit(MARKER), F.lit(buckets)))
+        )
+        field_stats(marked).withColumn("n_buckets", F.lit(buckets)).write.mode("overwrite").parquet(
             f"{path}/field_stats"
         )
 
     @classmethod
     def read(cls, spark, path: str, lang: str | None = None) -> LexicalIndex:
         load = lambda name: spark.read.parquet(f"{path}/{name}")
-        return cls(load("postings"), load("term_stats"), load("field_stats"), lang)
+        entries = load("postings").filter(F.col("term") != MARKER)
+        return cls(entries, load("term_stats"), load("field_stats"), lang)
 
 
 def query_terms(
@@ -175,11 +195,9 @@ def _matches_of_small_batch(fields: DataFrame, terms: DataFrame) -> tuple[DataFr
     without moving (query, document) pairs.
     """
     spark = terms.sparkSession
-    marker = F.lit("")
-    wanted = terms.select("term").distinct().union(spark.range(1).select(marker.alias("term")))
-    own = F.array(F.struct(marker.alias("term"), F.lit(1).cast("long").alias("tf")))
+    wanted = terms.select("term").distinct().union(spark.range(1).select(F.lit(MARKER).alias("term")))
     matches = written(
-        fields.select("content_hash", "field", "dl", F.inline(F.concat(own, F.col("terms")))).join(
+        fields.select("content_hash", "field", "dl", F.inline(F.concat(marker_entry(), F.col("terms")))).join(
             F.broadcast(wanted), "term", "left_semi"
         ),
         "matches",
@@ -187,11 +205,11 @@ def _matches_of_small_batch(fields: DataFrame, terms: DataFrame) -> tuple[DataFr
     per_term = matches.groupBy("field", "term").agg(
         F.count("*").alias("df"), F.sum("dl").alias("_dl")
     )
-    per_field = per_term.filter(F.col("term") == marker).select(
+    per_field = per_term.filter(F.col("term") == MARKER).select(
         "field", F.col("df").alias("n_docs"), (F.col("_dl") / F.col("df")).alias("avg_dl")
     )
-    stats = per_term.filter(F.col("term") != marker).join(F.broadcast(per_field), "field")
-    hits = matches.filter(F.col("term") != marker).repartition("content_hash")
+    stats = per_term.filter(F.col("term") != MARKER).join(F.broadcast(per_field), "field")
+    hits = matches.filter(F.col("term") != MARKER).repartition("content_hash")
     return hits, stats.select("field", "term", "df", "n_docs", "avg_dl")
 
 

@@ -323,7 +323,7 @@ def _html(source: str, key: str, html: str, name: str) -> str:
 TRIGRAMS = r"""
 samples AS (
   SELECT doc_id, lang, ' ' || trim(regexp_replace(lower({body}), '[^\p{{L}}]+', ' ', 'g')) || ' ' AS s, n_sample
-  FROM (SELECT *, {sample} AS n_sample FROM documents)),
+  FROM (SELECT *, {sample} AS n_sample FROM {source})),
 chars AS (SELECT doc_id, lang, n_sample, string_split(s, '') AS c FROM samples),
 grams AS (
   SELECT doc_id, lang, n_sample, c[i] || c[i + 1] || c[i + 2] AS gram
@@ -336,12 +336,51 @@ top_grams AS (
   WHERE rn <= {PROFILE_SIZE}),
 profiles AS (
   SELECT lang, gram, n, (sum(n) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang))::DOUBLE AS total FROM top_grams)"""
-PLAIN_GRAMS = TRIGRAMS.format(body="text", sample="0")
+PLAIN_GRAMS = TRIGRAMS.format(body="text", sample="0", source="documents")
 SAMPLE = rf"regexp_replace({TITLE} || chr(10) || text, '^\s+|\s+$', '', 'g')"
-DETECT_GRAMS = (
-    TRIGRAMS.format(body=SAMPLE, sample=f"length({SAMPLE})")
-    .replace("samples AS", "d_samples AS").replace("FROM samples", "FROM d_samples")
-    .replace("chars AS", "d_chars AS").replace("FROM chars", "FROM d_chars").replace("grams AS", "d_grams AS")
+
+
+def _detect_grams(body: str, source: str) -> str:
+    return (
+        TRIGRAMS.format(body=body, sample=f"length({body})", source=source)
+        .replace("samples AS", "d_samples AS").replace("FROM samples", "FROM d_samples")
+        .replace("chars AS", "d_chars AS").replace("FROM chars", "FROM d_chars").replace("grams AS", "d_grams AS")
+    )
+
+
+JUDGED = """
+floors AS (SELECT lang AS plang, -ln(any_value(total)) AS floor FROM profiles GROUP BY 1),
+doc_counts AS (SELECT doc_id, gram, count(*) AS c FROM d_grams WHERE n_sample >= 40 GROUP BY ALL),
+doc_n AS (SELECT doc_id, sum(c) AS n_grams FROM doc_counts GROUP BY 1),
+gains AS (
+  SELECT doc_id, p.lang AS plang, sum(c * (ln((p.n + 1) / p.total) - floor)) AS gain
+  FROM doc_counts JOIN profiles p USING (gram) JOIN floors ON plang = p.lang GROUP BY ALL),
+hit AS (SELECT DISTINCT doc_id FROM gains),
+totals AS (
+  SELECT doc_id, f.plang, coalesce(gain, 0) + n_grams * floor AS s
+  FROM hit CROSS JOIN floors f JOIN doc_n USING (doc_id) LEFT JOIN gains g USING (doc_id, plang)),
+best AS (SELECT doc_id, max(s) AS m FROM totals GROUP BY 1),
+judged AS (
+  SELECT doc_id, min(plang) FILTER (s = m) AS content_lang, round(1 / sum(exp(s - m)), 6) AS confidence
+  FROM totals JOIN best USING (doc_id) GROUP BY 1)"""
+
+CHOSEN = f"""
+parts AS (
+  SELECT doc_id, d.lang, d.source, own_.text AS s, page_.text AS p, page_id IS NOT NULL AS landed,
+    CASE WHEN d.lang <> 'es' THEN {TITLE.replace('text', 'd.text')} END AS raw_title
+  FROM documents d LEFT JOIN own_ ON own_.k = doc_id LEFT JOIN pages ON page_id = doc_id LEFT JOIN page_ ON page_.k = doc_id),
+chosen AS (
+  SELECT *, nullif(raw_title, '') AS t, CASE WHEN length(s) >= 80 THEN s WHEN landed THEN p ELSE s END AS body,
+    NOT coalesce(length(s) >= 80, false) AND coalesce(landed AND length(p) >= 80, false) AS permalink FROM parts),
+sourced AS (
+  SELECT *, coalesce(body, t) AS found, CASE WHEN permalink THEN 'permalink' WHEN body IS NOT NULL THEN 'rss_summary'
+    WHEN t IS NOT NULL THEN 'title_only' END AS text_source,
+    CASE WHEN coalesce(body, t) IS NULL THEN 'no extractable text' END AS error FROM chosen)"""
+CASCADE = (
+    _html("pages", "page_id", "html", "page_"),
+    "wrapped AS (SELECT doc_id, '<p>' || text || '</p>' AS h FROM documents WHERE lang = 'en')",
+    _html("wrapped", "doc_id", "h", "own_"),
+    CHOSEN,
 )
 
 GOLD = """
@@ -540,40 +579,30 @@ SELECT feed_id AS key, '{"event":"article.ingested","feed_id":' || to_json(feed_
   CASE WHEN feed_lang IS NULL THEN '' ELSE ',"feed_lang":' || to_json(feed_lang) END || '}' AS value
 FROM articles"""),
     "html_text": _with(_html("pages", "page_id", "html", "html_"), select="SELECT k AS page_id, text FROM html_"),
-    "text_source_cascade": _with(
-        _html("pages", "page_id", "html", "page_"),
-        "wrapped AS (SELECT doc_id, '<p>' || text || '</p>' AS h FROM documents WHERE lang = 'en')",
-        _html("wrapped", "doc_id", "h", "own_"),
-        f"""
-parts AS (
-  SELECT doc_id, own_.text AS s, page_.text AS p, CASE WHEN lang <> 'es' THEN nullif({TITLE.replace('text', 'd.text')}, '') END AS t,
-    page_id IS NOT NULL AS landed
-  FROM documents d LEFT JOIN own_ ON own_.k = doc_id LEFT JOIN pages ON page_id = doc_id LEFT JOIN page_ ON page_.k = doc_id),
-chosen AS (
-  SELECT doc_id, CASE WHEN length(s) >= 80 THEN s WHEN landed THEN p ELSE s END AS body, t,
-    NOT coalesce(length(s) >= 80, false) AND coalesce(landed AND length(p) >= 80, false) AS permalink FROM parts)""",
+    "text_source_cascade": _with(*CASCADE, select="""
+SELECT doc_id, text_source, error, md5(found) AS digest, length(found) AS n_chars FROM sourced"""),
+    "silver_build": _with(
+        *CATALOG, FEEDS, *CASCADE, PLAIN_GRAMS, PROFILES,
+        "detected AS (SELECT doc_id, lang, coalesce(raw_title, '') || chr(10) || coalesce(found, '') AS sample FROM sourced)",
+        _detect_grams(r"regexp_replace(sample, '^\s+|\s+$', '', 'g')", "detected"), JUDGED,
+        """
+langs AS (
+  SELECT a.*, coalesce(nullif(a.feed_lang, ''), f.lang, 'und') AS resolved
+  FROM articles a LEFT JOIN feeds f ON f.id = a.feed_id)""",
         select="""
-SELECT doc_id, CASE WHEN permalink THEN 'permalink' WHEN body IS NOT NULL THEN 'rss_summary' WHEN t IS NOT NULL THEN 'title_only' END AS text_source,
-  CASE WHEN coalesce(body, t) IS NULL THEN 'no extractable text' END AS error,
-  md5(coalesce(body, t)) AS digest, length(coalesce(body, t)) AS n_chars FROM chosen""",
-    ),
+SELECT l.url, error, text_source, md5(found) AS digest, resolved AS feed_lang, coalesce(j.content_lang, resolved) AS content_lang,
+  confidence AS content_lang_confidence, strftime(l.published_at, '%Y-%m-%d') AS dt,
+  replace(l.s3_uri, '/bronze/', '/silver/') AS silver_s3_uri
+FROM langs l JOIN sourced s ON s.doc_id = l.id LEFT JOIN judged j ON j.doc_id = l.id"""),
+    "published_dates": _with(*CATALOG, select=f"""
+SELECT id, CASE WHEN status <> 'fetched' THEN {_day('published_at')} END AS published_at FROM articles"""),
+    "landed_feeds": """
+SELECT source AS feed_id, lang AS title, 'https://x.example/' || doc_id AS link, doc_id::VARCHAR AS guid, md5(text) AS digest
+FROM documents""",
+    "stream_bus": _with(*CATALOG, BUS, EVENT_ROWS, select="SELECT * FROM rows_"),
     "lang_profiles": _with(PLAIN_GRAMS, PROFILES, select="""
 SELECT lang, gram, n, round(ln((n + 1) / total), 6) AS log_weight FROM profiles"""),
-    "lang_detect": _with(PLAIN_GRAMS, PROFILES, DETECT_GRAMS, """
-floors AS (SELECT lang AS plang, -ln(any_value(total)) AS floor FROM profiles GROUP BY 1),
-doc_counts AS (SELECT doc_id, gram, count(*) AS c FROM d_grams WHERE n_sample >= 40 GROUP BY ALL),
-doc_n AS (SELECT doc_id, sum(c) AS n_grams FROM doc_counts GROUP BY 1),
-gains AS (
-  SELECT doc_id, p.lang AS plang, sum(c * (ln((p.n + 1) / p.total) - floor)) AS gain
-  FROM doc_counts JOIN profiles p USING (gram) JOIN floors ON plang = p.lang GROUP BY ALL),
-hit AS (SELECT DISTINCT doc_id FROM gains),
-totals AS (
-  SELECT doc_id, f.plang, coalesce(gain, 0) + n_grams * floor AS s
-  FROM hit CROSS JOIN floors f JOIN doc_n USING (doc_id) LEFT JOIN gains g USING (doc_id, plang)),
-best AS (SELECT doc_id, max(s) AS m FROM totals GROUP BY 1),
-judged AS (
-  SELECT doc_id, min(plang) FILTER (s = m) AS content_lang, round(1 / sum(exp(s - m)), 6) AS confidence
-  FROM totals JOIN best USING (doc_id) GROUP BY 1)""", select="""
+    "lang_detect": _with(PLAIN_GRAMS, PROFILES, _detect_grams(SAMPLE, "documents"), JUDGED, select="""
 SELECT d.doc_id, coalesce(content_lang, 'und') AS content_lang, confidence FROM documents d LEFT JOIN judged USING (doc_id)"""),
     "chunk_documents": _with(*DOCS, CHUNKS, select="""
 SELECT chunk_id, content_hash, chunk_index, char_start, char_end, feed_id, content_lang, text FROM chunks"""),

@@ -23,11 +23,12 @@ from corpuslake.operators import (
     ops,
     vector,
 )
+from corpuslake.plans import stages
 from corpuslake.plans import tables as t
 from corpuslake.schemas import struct
 from corpuslake.session import shared_folder, spread
 from corpuslake.settings import EMBEDDING_DIMS, TOP_K_DEFAULT, RetrievalSettings
-from corpuslake.sources import bus, lake
+from corpuslake.sources import bus, feeds, lake
 from corpuslake.sources import tables as stores
 from corpuslake.streaming import ingest as streams
 
@@ -232,7 +233,7 @@ def chunk_replacement(spark, sf):
     old = chunking.silver_chunks(silver)
     again = silver.join(t.read(spark, sf, "labels"), "doc_id", "left_semi").drop("doc_id")
     new = chunking.silver_chunks(again, size=2000, overlap=100)
-    merged = dedup.replace_groups(old, new, ["content_hash"])
+    merged = dedup.replace_groups(old, new, "content_hash")
     return merged.groupBy("content_hash").agg(
         F.count("*").alias("n_chunks"), F.max("char_end").cast("long").alias("last_char")
     )
@@ -467,6 +468,57 @@ def chunk_documents(spark, sf):
     )
 
 
+def published_dates(spark, sf):
+    """RFC 822 and ISO dates written from the catalog's times, and read back."""
+    a = t.articles(spark, sf)
+    rfc = F.concat(F.date_format("published_at", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT"))
+    iso = F.concat(F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
+    given = F.when(F.col("status") == "fetched", "soon").when(F.col("status") == "parsed", iso).otherwise(rfc)
+    parsed = F.to_utc_timestamp(keys.published_timestamp(given), F.current_timezone())
+    return a.select("id", F.date_format(parsed, "yyyy-MM-dd HH:mm:ss").alias("published_at"))
+
+
+def landed_feeds(spark, sf):
+    """Feed files holding one document each, read back as entries."""
+    d = t.text_table(spark, sf)
+
+    def element(name: str, value: Column) -> Column:
+        safe = value
+        for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            safe = F.replace(safe, F.lit(char), F.lit(entity))
+        return F.concat(F.lit(f"<{name}>"), safe, F.lit(f"</{name}>"))
+
+    item = F.concat(
+        element("title", F.col("lang")), element("link", F.concat(F.lit("https://x.example/"), "doc_id")),
+        element("guid", F.col("doc_id").cast("string")), element("description", F.col("text")),
+    )
+    xml = F.concat(F.lit("<rss><channel><item>"), item, F.lit("</item></channel></rss>"))
+    entries = feeds.landed_entries(d.select(F.col("source").alias("feed_id"), xml.alias("xml")))
+    return entries.select("feed_id", "title", "link", "guid", F.md5("summary").alias("digest"))
+
+
+def silver_build(spark, sf):
+    """Silver rows of articles whose bronze summary may be missing: text, source, language."""
+    cascade = _cascade_entries(spark, sf).withColumns(
+        {c: F.lit(None).cast("string") for c in ("id", "guid", "published", "updated", "author")}
+    )
+    a = t.articles(spark, sf).select(
+        F.col("id").alias("doc_id"), "url", "s3_uri", "feed_id", "content_hash", "feed_lang",
+        F.lit(None).cast("string").alias("catalog_title"),
+    )
+    rows = cascade.join(a.withColumn("item_key", F.col("content_hash")), "doc_id")
+    bronze = rows.select(F.col("s3_uri").alias("uri"), lake.bronze_json(rows, F.lit(NOW)).alias("raw_json"))
+    articles = a.select("url", "s3_uri", "feed_id", "content_hash", "feed_lang", F.col("catalog_title").alias("title"))
+    model = langid.train(t.text_table(spark, sf))
+    built = stages.silver_rows(
+        articles, bronze, t.text_table(spark, sf, "pages"), t.registry(spark, sf), model, F.lit(NOW).cast("timestamp")
+    )
+    return built.select(
+        "url", "error", "text_source", F.md5("text").alias("digest"), "feed_lang", "content_lang",
+        "content_lang_confidence", "dt", "silver_s3_uri",
+    )
+
+
 # --- lexical ------------------------------------------------------------------
 
 
@@ -514,7 +566,7 @@ def bm25_topk_lang(spark, sf):
 def bm25_index_topk(spark, sf):
     """The same as ``bm25_topk`` from index tables written to and read from storage."""
     folder = shared_folder(spark, "lexical")
-    lexical.LexicalIndex.build(t.lexical_docs(spark, sf)).write(folder, buckets=8)
+    lexical.LexicalIndex.write(t.lexical_docs(spark, sf), folder, buckets=8)
     index = lexical.LexicalIndex.read(spark, folder)
     return _ranked(lexical.search_index(t.questions(spark, sf), index, DEPTH), "content_hash")
 
@@ -750,6 +802,18 @@ def stream_replay(spark, sf):
     )
 
 
+def stream_bus(spark, sf):
+    """Ingest events published to storage and consumed as a stream."""
+    folder = shared_folder(spark, "stream-bus")
+    sent = _bus(spark, sf).select("key", "value", F.col("id").alias("offset"))
+    bus.write_messages(sent, f"{folder}/topic")
+    events = bus.ingested_events(bus.stream_messages(spark, f"{folder}/topic"))
+    streams.drain(events, f"{folder}/checkpoint", path=f"{folder}/out")
+    return spark.read.parquet(f"{folder}/out").select(
+        F.col("offset").alias("id"), "feed_id", "url", "s3_uri", "content_hash", "title", "feed_lang", "error"
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -767,5 +831,6 @@ QUERIES = {
         vector_only_retrieve, lexical_only_retrieve, search_response, citations, prompt_assembly,
         sources_footer, answer_routing, case_scores, eval_summary, recall_report, recall_cases,
         last_user_message, answer_citations, stream_dedup, stream_upsert, stream_replay,
+        published_dates, landed_feeds, silver_build, stream_bus,
     )
 }

@@ -72,7 +72,7 @@ def test_bm25_equals_brute_force(spark, max_terms):
 def test_stored_index_gives_the_same(spark, tmp_path, max_terms):
     docs, _ = corpus(spark)
     asked = spark.createDataFrame(QUERIES, "query_id long, question string")
-    lexical.LexicalIndex.build(docs).write(str(tmp_path), buckets=4)
+    lexical.LexicalIndex.write(docs, str(tmp_path), buckets=4)
     index = lexical.LexicalIndex.read(spark, str(tmp_path))
     cols = ["query_id", "content_hash", "score", "rank"]
     assert ranked(lexical.search_index(asked, index, 7, max_terms=max_terms).select(cols)) == ranked(
