@@ -454,8 +454,9 @@ def lang_profiles(spark, sf):
 def lang_detect(spark, sf):
     docs = t.text_table(spark, sf)
     model = langid.train(docs)
-    return langid.detect(
-        docs, model, "doc_id", F.regexp_extract("text", r"^[^.\n]*", 0), F.col("text"), F.lit("und")
+    title = F.regexp_extract("text", r"^[^.\n]*", 0)
+    return langid.detect(docs, model, title, F.col("text"), F.lit("und")).select(
+        "doc_id", "content_lang", "confidence"
     )
 
 
