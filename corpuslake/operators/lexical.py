@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corpuslake.functions.keys import first_filled
 from corpuslake.functions.text import analyzed, lexical_query, snippet, term_counts, words
-from corpuslake.session import fits, written
+from corpuslake.session import fits, shared_folder, written
 from corpuslake.settings import (
     ANALYZED_LANGS,
     BM25_B,
@@ -275,14 +275,16 @@ def search(
 
     ``documents`` are those of :func:`lexical_documents`. The ``(query, term)`` pairs
     are counted first: a batch that fits is broadcast, a larger one is joined by
-    shuffle.
+    shuffle with index tables stored for the purpose.
     """
     terms = query_terms(questions, rewrite, lang, stemmer)
     if fits(terms, max_terms):
         fields = field_terms(search_fields(documents, lang), lang, stemmer)
         parts = _score_broadcast(*_matches_of_small_batch(fields, terms), terms)
     else:
-        parts = _score_salted(LexicalIndex.build(documents, lang, stemmer), terms)
+        folder = shared_folder(documents.sparkSession, "index")
+        LexicalIndex.write(documents, folder, lang, stemmer)
+        parts = _score_salted(LexicalIndex.read(documents.sparkSession, folder, lang), terms)
     return top_k(_best_field(parts), k, "content_hash")
 
 
