@@ -107,6 +107,8 @@ def test_stages_end_to_end(spark, home, landed, pages):
     again = stages.run_stages(home, NOW, landed, pages)
     assert again == {"ingest": 0, "parse": (0, 1), "index": 0, "embed": 0}
     assert home.articles.current().count() == 5
+    polls = home.runs.current().filter("job = 'poll'").orderBy("new_items").collect()
+    assert [(r.new_items, r.errors) for r in polls] == [(0, 1), (6, 1)]  # the item without a key
     assert home.runs.current().groupBy("job").agg(F.sum("new_items")).count() == 4
 
     rebuilt = stages.run_stages(home, NOW, None, pages, rebuild=True)
@@ -115,6 +117,22 @@ def test_stages_end_to_end(spark, home, landed, pages):
     assert stages.write_gold(home) == 4
 
 
+def test_invalid_objects_are_not_stored(spark, home, pages):
+    schema = feeds.ENTRY_SCHEMA
+    rows = [
+        ("france", 0, "t", "https://x/9", "  ", None, None, None, None, None, None),  # a blank key
+        ("france", 1, "t", "https://x/8", "id8", None, None, None, None, None, None),
+        ("f", 2, "t", "https://x/7", "id7", None, None, None, None, None, None),
+    ]
+    assert stages.ingest(home, spark.createDataFrame(rows, schema), NOW) == 2
+    assert home.bronze.versions().count() == 2
+    bad = home.table("ingested", stages.INGESTED_SCHEMA, ()).versions().filter("error is not null").first()
+    assert bad.error == "item_key: '' should be non-empty"
+    # the feed is not registered, so its language is unknown, which the contract allows
+    assert stages.parse(home, pages, NOW) == (2, 0)
+    assert {r.feed_lang for r in home.articles.current().collect()} == {"fr", "und"}
+
+
 def test_parsing_from_the_bus_and_replay(spark, home, landed, pages):
     stages.ingest(home, landed, NOW)
     messages = bus.read_messages(spark, home.path("bus"))
