@@ -54,3 +54,16 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tu
                 part = batch.slice(first, at - first)
                 yield part, [t or b"" for t in column.slice(first, at - first).to_pylist()]
                 first, size = at, 0
+
+
+def join_counted(left: DataFrame, right: DataFrame, key: str, n: str, total: int, share: float = 0.001) -> DataFrame:
+    """Inner join to ``right``, whose ``key`` is unique and whose ``n`` counts the key's rows on the left.
+
+    The counts add up to ``total`` at most, so no more than ``1 / share`` keys are frequent.
+    Those rows are broadcast and the hot keys' left rows stay where they are; the rest is
+    joined by shuffle.
+    """
+    hot = F.col(n) >= max(2.0, total * share)
+    few = F.broadcast(right.filter(hot))
+    rest = left.join(few.select(key), key, "left_anti").join(right.filter(~hot), key)
+    return left.join(few, key).unionByName(rest)

@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
-from corpuslake.llm import exact_dedup, line_dedup, pii
+from corpuslake.llm import decontaminate, exact_dedup, line_dedup, minhash, mixture, pii, quality, urls
 
 QUERIES = {
+    "op1_minhash_dedup": minhash.op1_minhash_dedup,
+    "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_pii": pii.op3_pii,
     "op4_line_dedup": line_dedup.op4_line_dedup,
+    "op5_quality": quality.op5_quality,
+    "op8_url_filter": urls.op8_url_filter,
+    "op9_mixture": mixture.op9_mixture,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
+#: The others are tested against brute force or by held-out accuracy.
 ORACLE = {
+    "op1_minhash_dedup": minhash.ORACLE,
+    "op2_decontaminate": decontaminate.ORACLE,
     "op4_line_dedup": line_dedup.ORACLE,
+    "op8_url_filter": urls.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
 }
