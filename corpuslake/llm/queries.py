@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpuslake.llm import decontaminate, exact_dedup, line_dedup, minhash, mixture, pii, quality, urls
+from corpuslake.llm import decontaminate, exact_dedup, line_dedup, lm, minhash, mixture, passages, pii, quality, urls
 
 QUERIES = {
     "op1_minhash_dedup": minhash.op1_minhash_dedup,
@@ -10,6 +10,8 @@ QUERIES = {
     "op3_pii": pii.op3_pii,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_quality": quality.op5_quality,
+    "op6_lm_score": lm.op6_lm_score,
+    "op7_substring_dedup": passages.op7_substring_dedup,
     "op8_url_filter": urls.op8_url_filter,
     "op9_mixture": mixture.op9_mixture,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
