@@ -259,14 +259,83 @@ def test_versioned_table(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "t"), struct("k string, v int"), ("k",))
     assert table.current().isEmpty() and table.next_batch() == 0
     table.append(spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int"))
-    table.append(spark.createDataFrame([("a", 2)], "k string, v int"))
-    table.append(spark.createDataFrame([("a", 2)], "k string, v int"), batch=1)  # a repeated batch
+    for _ in range(2):  # a repeated run
+        assert table.append(spark.createDataFrame([("a", 2)], "k string, v int"), run="again") == 1
+    assert table.versions().count() == 3 and table.versions(but="again").count() == 2
     assert sorted((r.k, r.v) for r in table.current().collect()) == [("a", 2), ("b", 1)]
     wider = VersionedTable(spark, table.path, struct("k string, v int, added string"), ("k",))
     assert {r.added for r in wider.current().collect()} == {None}
     table.compact()
-    assert table.versions().filter("batch = 2").count() == 2
+    assert table.versions().filter("batch = 2").count() == table.versions().count() == 2
+    assert sorted((r.k, r.v) for r in table.current().collect()) == [("a", 2), ("b", 1)]
+    table.append(spark.createDataFrame([("b", 3)], "k string, v int"))
+    assert sorted((r.k, r.v) for r in table.current().collect()) == [("a", 2), ("b", 3)]
+
+
+def test_compacting_a_log_keeps_its_rows(spark, home):
+    home.log("poll", NOW, 1, 0)
+    home.log("poll", NOW, 2, 0)
+    home.runs.compact()
+    home.runs.compact()
+    assert sorted(r.new_items for r in home.runs.current().collect()) == [1, 2]
+
+
+def test_a_fresh_checkpoint_keeps_what_is_there(spark, tmp_path):
+    target = VersionedTable(spark, str(tmp_path / "t"), struct("k string, v int"), ("k",))
+    schema = "k string, v int"
+
+    def landed(name, *values):
+        spark.createDataFrame([(k, i) for i, k in enumerate(values)], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+
+    def drain(name, checkpoint):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / name))
+        streams.drain(stream, str(tmp_path / checkpoint), streams.upsert_batches(target, ["k"], F.col("v")))
+
+    landed("one", "a", "b")
+    landed("one", "c")
+    drain("one", "first")
+    landed("two", "c", "z")
+    drain("two", "second")
+    drain("one", "third")
+    assert sorted(r.k for r in target.versions().collect()) == ["a", "b", "c", "z"]
+
 
+def test_a_failed_ingest_is_completed(spark, home, landed, pages, monkeypatch):
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    for name in ("publish",):
+        with monkeypatch.context() as broken:
+            broken.setattr(stages, name, fail)
+            with pytest.raises(RuntimeError):
+                stages.ingest(home, landed, NOW)
+    stages.ingest(home, landed, NOW)
+    assert home.bronze.versions().count() == home.bronze.versions().select("uri").distinct().count()
+    assert bus.read_messages(spark, home.bus).count() == 5
+    offsets = [r.offset for r in bus.read_messages(spark, home.bus).filter("key = 'france'").collect()]
+    assert len(set(offsets)) == 4 and None not in offsets
+    assert stages.parse(home, pages, NOW) == (4, 1)
+    assert home.silver.versions().count() == 4
+    envelope = json.loads(home.bronze.versions().first().raw_json)
+    assert envelope["fetched_at"].endswith("+00:00") and "T" in envelope["fetched_at"]
+
+
+def test_limits_count_ingest_events(spark, home, landed, pages):
+    stages.ingest(home, landed, NOW)
+    noise = spark.createDataFrame([("x", "{}", -1), ("x", "[1]", -2)], bus.MESSAGE_SCHEMA)
+    bus.write_messages(noise, f"{home.bus}/batch=99")
+    assert sum(streams.replay_events(home, pages, NOW, limit=1)) == 1
+    assert sum(streams.parse_events(home, pages, NOW, limit=2)) == 2
+
+
+def test_items_of_two_feeds_share_their_chunks(spark, home, pages):
+    schema = feeds.ENTRY_SCHEMA
+    rows = [(f, 0, "t", f"https://x/{f}", "same", None, BODY * 9, None, None, None, None) for f in ("france", "other")]
+    stages.run_stages(home, NOW, spark.createDataFrame(rows, schema), pages)
+    chunks = home.chunk_vectors()
+    assert chunks.count() == chunks.select("chunk_id").distinct().count() > 1
+    assert home.lexical_documents.current().count() == 1
+    assert home.articles.current().filter("status = 'embedded'").count() == 2
 
 def test_stream_dedup_with_a_bound(spark, sf, tmp_path):
     schema = tables.read(spark, sf, "events").schema
@@ -277,7 +346,10 @@ def test_stream_dedup_with_a_bound(spark, sf, tmp_path):
 
 
 def test_replacing_chunks_leaves_no_tail(spark, home):
-    store = home.table("chunks", "chunk_id string, content_hash string", ())
-    store.append(spark.createDataFrame([("h:0", "h"), ("h:1", "h"), ("g:0", "g")], "chunk_id string, content_hash string"))
-    store.append(spark.createDataFrame([("h:0", "h")], "chunk_id string, content_hash string"))
-    assert sorted(r.chunk_id for r in home.chunk_vectors().collect()) == ["g:0", "h:0"]
+    columns = "chunk_id string, content_hash string"
+    store = VersionedTable(spark, home.path("some"), struct(columns), ("content_hash",), whole=True)
+    store.append(spark.createDataFrame([("h:0", "h"), ("h:1", "h"), ("g:0", "g"), ("g:1", "g")], columns))
+    store.append(spark.createDataFrame([("h:0", "h")], columns))
+    for _ in range(2):
+        assert sorted(r.chunk_id for r in store.current().collect()) == ["g:0", "g:1", "h:0"]
+        store.compact()
