@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -62,15 +64,6 @@ BLOCK_ELEMENTS = (
     "figcaption", "figure", "h1", "h2", "h3", "h4", "h5", "h6", "hr", "html", "li",
     "main", "ol", "p", "pre", "section", "ul",
 )
-NAMED_ENTITIES = {
-    "nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "copy": "©",
-    "middot": "·", "laquo": "«", "raquo": "»", "hellip": "…", "ndash": "–",
-    "mdash": "—", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”",
-    "euro": "€", "agrave": "à", "acirc": "â", "ccedil": "ç", "eacute": "é",
-    "egrave": "è", "ecirc": "ê", "euml": "ë", "icirc": "î", "iuml": "ï",
-    "ocirc": "ô", "ugrave": "ù", "ucirc": "û", "uuml": "ü", "oelig": "œ",
-    "Agrave": "À", "Ccedil": "Ç", "Eacute": "É", "Egrave": "È",
-}
 # ------------------------------------------------------------------------------
 
 
@@ -152,10 +145,13 @@ def _elements(names) -> str:
     return "|".join(rf"<{n}\b[^>]*>.*?</{n}\s*>" for n in names)
 
 
-DROPPED = (
-    r"(?is)<!--.*?-->|" + _elements(DROPPED_ELEMENTS) + "|"
-    + r'<div\b[^>]*\bclass="(?:' + "|".join(DROPPED_CLASSES) + r')"[^>]*>.*?</div\s*>'
+_CLASS = "(?:" + "|".join(DROPPED_CLASSES) + ")"
+# One of the classes as a whole word of the attribute, in double, single or no quotes.
+_CLASSED = (
+    r'<div\b[^>]*\bclass\s*=\s*(?:"(?:[^"]*\s)?' + _CLASS + r'(?:\s[^"]*)?"[^>]*'
+    + r"|'(?:[^']*\s)?" + _CLASS + r"(?:\s[^']*)?'[^>]*|" + _CLASS + r"(?:\s[^>]*)?)>.*?</div\s*>"
 )
+DROPPED = r"(?is)<!--.*?-->|" + _elements(DROPPED_ELEMENTS) + "|" + _CLASSED
 BLOCK_TAG = r"(?i)</?(?:" + "|".join(BLOCK_ELEMENTS) + r")\b[^>]*>"
 ANY_TAG = r"</?[A-Za-z!][^>]*>"
 ARTICLE = r"(?is)<article\b[^>]*>(.*)</article\s*>"
@@ -166,38 +162,38 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _numeric_entities(col: Column) -> Column:
-    """Replace ``&#233;`` and ``&#xE9;`` by the characters they stand for."""
+def _entities() -> Column:
+    """All named characters of HTML, a constant map from name to text."""
+    return F.from_json(F.lit(json.dumps({n[:-1]: c for n, c in html5.items() if n.endswith(";")})), "map<string,string>")
+
+
+def _character(code: Column) -> Column:
+    """The character of a code point; those that are none become the replacement character."""
+    known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    return F.when(known, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("\ufffd")
+
+
+def unescape(col: Column) -> Column:
+    """Named and numeric entities as characters, each decoded once; unknown names stay."""
 
     def decoded(piece: Column) -> Column:
-        dec = F.regexp_extract(piece, r"^([0-9]{1,6});", 1)
-        hexa = F.regexp_extract(piece, r"^[xX]([0-9A-Fa-f]{1,5});", 1)
-        code = F.when(dec != "", F.hex(dec.cast("long"))).when(hexa != "", hexa)
-        char = F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
-        return F.when(code.isNull(), F.concat(F.lit("&#"), piece)).otherwise(
-            F.concat(char, F.regexp_replace(piece, r"^[xX]?[0-9A-Fa-f]+;", ""))
+        name = F.regexp_extract(piece, r"^([A-Za-z][A-Za-z0-9]{1,40});", 1)
+        dec = F.regexp_extract(piece, r"^#0*([0-9]+);", 1)
+        hexa = F.regexp_extract(piece, r"^#[xX]0*([0-9A-Fa-f]+);", 1)
+        char = (
+            F.when(name != "", F.try_element_at(_entities(), name))
+            .when(dec != "", _character(F.when(F.length(dec) <= 7, dec).otherwise("0").cast("long")))
+            .when(hexa != "", _character(F.conv(F.when(F.length(hexa) <= 6, hexa).otherwise("0"), 16, 10).cast("long")))
         )
+        return bind(char, lambda c: F.when(c.isNull(), F.concat(F.lit("&"), piece)).otherwise(
+            F.concat(c, F.regexp_replace(piece, "^[^;]*;", ""))
+        ))
 
     def joined(pieces: Column) -> Column:
         tail = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decoded)
         return F.concat(F.element_at(pieces, 1), F.array_join(tail, ""))
 
-    return F.when(col.contains("&#"), bind(F.split(col, "&#"), joined)).otherwise(col)
-
-
-def unescape(col: Column) -> Column:
-    """Named and numeric entities as characters; text without any is left alone."""
-
-    def replaced(value: Column) -> Column:
-        named = value
-        for name, char in NAMED_ENTITIES.items():
-            named = F.replace(named, F.lit(f"&{name};"), F.lit(char))
-        plain = bind(named, _numeric_entities)
-        return F.when(
-            value.contains("&"), F.replace(plain, F.lit("&amp;"), F.lit("&"))
-        ).otherwise(value)
-
-    return bind(col, replaced)
+    return F.when(col.contains("&"), bind(F.split(col, "&"), joined)).otherwise(col)
 
 
 def html_text(html: Column) -> Column:

@@ -131,6 +131,8 @@ def hybrid_retrieve(
     holds the chunks' texts where ``chunk_vectors`` does not.
     """
     settings = settings or RetrievalSettings()
+    if index is not None and settings.lexical and index.lang != settings.lang:
+        raise ValueError(f"the index holds language {index.lang!r}, the search asks for {settings.lang!r}")
     branches = []
     if settings.lexical:
         depth = settings.per_engine
@@ -139,7 +141,7 @@ def hybrid_retrieve(
             if index is not None
             else lexical.search(questions, documents, depth, settings.lang, rewrite=True)
         )
-        branches.append(lexical_passages(lexical.with_hits(ranked, documents, questions, rewrite=True)))
+        branches.append(lexical_passages(lexical.with_hits(ranked, documents, questions, True, settings.lang)))
     if settings.vector:
         wanted = encode.encode(questions, "question", "embedding", encoder)
         ranked = vector.cosine_top_k(wanted, chunk_vectors, settings.per_engine, settings.lang)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from corpuslake.functions import contracts as rules
 from corpuslake.functions import text
 from corpuslake.operators import answers
-from corpuslake.operators.langid import PROFILE_SIZE
 from corpuslake.settings import EMBEDDING_DIMS, LAKE_NAME
 
 DEPTH = 10
@@ -295,8 +294,9 @@ BLOCK = text.BLOCK_TAG.replace("'", "''")
 
 
 def _unescaped(expr: str) -> str:
-    for name, char in text.NAMED_ENTITIES.items():
-        expr = f"replace({expr}, '&{name};', '{char.replace(chr(39), chr(39) * 2)}')"
+    """The entities that the given pages hold; each is decoded once, the ampersand last."""
+    for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">")):
+        expr = f"replace({expr}, '&{name};', '{char}')"
     return f"replace({expr}, '&amp;', '&')"
 
 
@@ -326,16 +326,13 @@ samples AS (
   FROM (SELECT *, {sample} AS n_sample FROM {source})),
 chars AS (SELECT doc_id, lang, n_sample, string_split(s, '') AS c FROM samples),
 grams AS (
-  SELECT doc_id, lang, n_sample, c[i] || c[i + 1] || c[i + 2] AS gram
+  SELECT doc_id, lang, n_sample, (unicode(c[i]) * 40503 + unicode(c[i + 1]) * 9973 + unicode(c[i + 2]) * 2657) % 65521 AS gram
   FROM (SELECT *, unnest(range(1, len(c) - 1)) AS i FROM chars))"""
 
-PROFILES = f"""
+PROFILES = """
 gram_counts AS (SELECT lang, gram, count(*) AS n FROM grams GROUP BY ALL),
-top_grams AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS rn FROM gram_counts)
-  WHERE rn <= {PROFILE_SIZE}),
 profiles AS (
-  SELECT lang, gram, n, (sum(n) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang))::DOUBLE AS total FROM top_grams)"""
+  SELECT lang, gram, n, (sum(n) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang))::DOUBLE AS total FROM gram_counts)"""
 PLAIN_GRAMS = TRIGRAMS.format(body="text", sample="0", source="documents")
 SAMPLE = rf"regexp_replace({TITLE} || chr(10) || text, '^\s+|\s+$', '', 'g')"
 
@@ -391,7 +388,8 @@ gold AS (
 
 BUS = """
 bus AS (
-  SELECT a.*, event_type FROM articles a JOIN events ON event_id = id
+  SELECT a.* REPLACE (event_id AS id), event_type
+  FROM events JOIN articles a ON a.id = event_id % (SELECT count(*) FROM documents)
   WHERE event_type NOT IN ('error', 'view'))"""
 EVENT_ROWS = """
 rows_ AS (
@@ -494,7 +492,7 @@ SELECT request_id, CASE WHEN toxic = 1 THEN 'outside silver/' WHEN status = 'fet
 FROM asked"""),
     "feed_language": _with(*CATALOG, FEEDS, select="""
 SELECT a.id, feed_id, coalesce(nullif(feed_lang, ''), f.lang, 'und') AS feed_lang
-FROM articles a LEFT JOIN (SELECT * FROM feeds WHERE lang = 'de') f ON f.id = a.feed_id"""),
+FROM articles a LEFT JOIN feeds f ON f.id = a.feed_id"""),
     "unique_violations": _with(ENTRIES, select="""
 SELECT 'url' AS rule, link AS value, count(*) AS n FROM entries GROUP BY link HAVING count(*) > 1
 UNION ALL SELECT 'feed_item', feed_id || ':' || item_key, count(*) FROM entries GROUP BY feed_id, item_key HAVING count(*) > 1"""),
@@ -578,6 +576,13 @@ SELECT feed_id AS key, '{"event":"article.ingested","feed_id":' || to_json(feed_
   ',"s3_uri":' || to_json(s3_uri) || ',"content_hash":' || to_json(content_hash) || ',"item_key":' || to_json(item_key) ||
   CASE WHEN feed_lang IS NULL THEN '' ELSE ',"feed_lang":' || to_json(feed_lang) END || '}' AS value
 FROM articles"""),
+    "html_marks": """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i
+  FROM (SELECT doc_id, 'kept &OUML; öß×•° éé' || chr(1114109) || chr(65533) || ' &lt;' || chr(10) || regexp_replace(text, '[^\\p{L}\\n]+', ' ', 'g') AS t FROM documents)
+), once AS (
+  SELECT doc_id, trim(line) AS line, min(i) AS i FROM lines WHERE trim(line) <> '' GROUP BY 1, 2)
+SELECT doc_id, md5(string_agg(line, chr(10) ORDER BY i)) AS digest FROM once GROUP BY doc_id""",
     "html_text": _with(_html("pages", "page_id", "html", "html_"), select="SELECT k AS page_id, text FROM html_"),
     "text_source_cascade": _with(*CASCADE, select="""
 SELECT doc_id, text_source, error, md5(found) AS digest, length(found) AS n_chars FROM sourced"""),
@@ -601,7 +606,7 @@ SELECT source AS feed_id, lang AS title, 'https://x.example/' || doc_id AS link,
 FROM documents""",
     "stream_bus": _with(*CATALOG, BUS, EVENT_ROWS, select="SELECT * FROM rows_"),
     "lang_profiles": _with(PLAIN_GRAMS, PROFILES, select="""
-SELECT lang, gram, n, round(ln((n + 1) / total), 6) AS log_weight FROM profiles"""),
+SELECT lang, gram AS place, n, round(ln((n + 1) / total), 6) AS log_weight FROM profiles"""),
     "lang_detect": _with(PLAIN_GRAMS, PROFILES, _detect_grams(SAMPLE, "documents"), JUDGED, select="""
 SELECT d.doc_id, coalesce(content_lang, 'und') AS content_lang, confidence FROM documents d LEFT JOIN judged USING (doc_id)"""),
     "chunk_documents": _with(*DOCS, CHUNKS, select="""

@@ -156,9 +156,7 @@ def read_silver(spark, sf):
 
 
 def feed_language(spark, sf):
-    resolved = catalog.resolve_feed_lang(
-        t.articles(spark, sf), t.registry(spark, sf).filter(F.col("lang") == "de")
-    )
+    resolved = catalog.resolve_feed_lang(t.articles(spark, sf), t.registry(spark, sf))
     return resolved.select("id", "feed_id", "feed_lang")
 
 
@@ -382,10 +380,10 @@ def gold_write_read(spark, sf):
 
 
 def _bus(spark, sf) -> DataFrame:
-    """Messages of the article of equal number as the event, other events among them."""
-    a = t.articles(spark, sf).join(
-        t.read(spark, sf, "events").select(F.col("event_id").alias("id"), "event_type"), "id"
-    )
+    """A message per event about an article, in turn; other events are among them."""
+    n = max(1, t.read(spark, sf, "documents").count())
+    events = t.read(spark, sf, "events").select("event_id", "event_type", (F.col("event_id") % n).alias("id"))
+    a = events.join(t.articles(spark, sf), "id", "left").withColumn("id", F.col("event_id"))
     value = (
         F.when(F.col("event_type") == "error", F.lit("[1, 2]"))
         .when(F.col("event_type") == "view", F.to_json(F.struct(F.lit("article.removed").alias("event"), "url")))
@@ -430,6 +428,15 @@ def html_text(spark, sf):
     return t.text_table(spark, sf, "pages").select("page_id", text.html_text(F.col("html")).alias("text"))
 
 
+def html_marks(spark, sf):
+    """Documents in pages of their own, with entities of every kind and classes in every quoting."""
+    drop = ['<div class="ad banner">x</div>', "<DIV id=a class='wide ads'>x</DIV>", "<div class=share>x</div>"]
+    keep = '<div class="adverb">kept &OUML; &ouml;&szlig;&times;&bull;&deg; &#233;&#xE9;&#1114109;&#0; &amp;lt;</div>'
+    body = F.regexp_replace(F.regexp_replace("text", r"[^\p{L}\n]+", " "), r"\n+", "</p><p>")
+    html = F.concat(F.lit("<article>" + "".join(drop) + keep + "<p>"), body, F.lit("</p></article>"))
+    return t.text_table(spark, sf).select("doc_id", F.md5(text.html_text(html)).alias("digest"))
+
+
 def _cascade_entries(spark, sf) -> DataFrame:
     """Entries that link to the page of equal number; only English ones have a summary."""
     d = t.text_table(spark, sf)
@@ -448,7 +455,7 @@ def text_source_cascade(spark, sf):
 
 def lang_profiles(spark, sf):
     table = langid.profile_table(t.text_table(spark, sf))
-    return table.select("lang", "gram", "n", F.round("log_weight", 6).alias("log_weight"))
+    return table.select("lang", F.col("place").cast("long").alias("place"), "n", F.round("log_weight", 6).alias("log_weight"))
 
 
 def lang_detect(spark, sf):
@@ -825,7 +832,7 @@ QUERIES = {
         insert_if_absent, latest_versions, chunk_replacement, worker_stats, ops_status, gauges_long,
         contract_violations, contract_error_counts, contract_audit, lake_audit, audit_sample,
         gold_projection, gold_partition_counts, gold_write_read, event_rows, event_error_counts,
-        bus_messages, html_text, text_source_cascade, lang_profiles, lang_detect, chunk_documents,
+        bus_messages, html_text, html_marks, text_source_cascade, lang_profiles, lang_detect, chunk_documents,
         lexical_query_rewrite, lexical_documents, term_stats, field_stats, bm25_topk, bm25_topk_lang,
         bm25_index_topk, lexical_branch, snippets, encoded_questions, centroid_topk, cosine_topk,
         cosine_topk_lang, vector_dimensions, rrf_fusion, relevance_gate, hybrid_retrieve,

@@ -73,7 +73,7 @@ def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(entry.queries())
     spark = build_session(
-        "check", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="12g",
+        "check", f"local[{os.environ.get('CHECK_CPUS', '8')}]", spark__sql__shuffle__partitions="8", spark__driver__memory="12g",
         spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("OFF")

@@ -191,8 +191,11 @@ def test_language_detection(spark, profiles, sf):
     assert [(r.content_lang, r.confidence) for r in rows] == [("und", None)] * 3
 
 
-def test_profiles_are_bounded(profiles):
-    assert len(profiles.keys) <= langid.PROFILE_SIZE * len(profiles.langs)
+def test_profiles_count_every_trigram(spark, profiles):
+    assert profiles.gains.shape == (langid.PLACES, len(profiles.langs))
+    texts = "".join(chr(97 + i % 26) + chr(97 + i // 26 % 26) for i in range(1500))
+    table = langid.profile_table(spark.createDataFrame([(texts, "XX"), (texts, None)], "text string, lang string"))
+    assert table.agg(F.sum("n")).first()[0] == len(texts) and {r.lang for r in table.collect()} == {"xx"}
 
 
 def silver_file(root, name, doc, dt="2026-08-31"):
