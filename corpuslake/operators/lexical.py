@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpuslake.functions.keys import first_filled
 from corpuslake.functions.text import analyzed, lexical_query, snippet, term_counts, words
-from corpuslake.session import fits, shared_folder, written
+from corpuslake.operators.best import TaskBest
+from corpuslake.session import written
 from corpuslake.settings import (
     ANALYZED_LANGS,
     BM25_B,
@@ -25,9 +31,8 @@ from corpuslake.settings import (
 FIELDS = ("title", "text")
 # A term no analysis yields; its one entry per document and field carries the length.
 MARKER = ""
-# Spreads the postings of one term over this many join keys when the query terms
-# are too many to broadcast.
-SALTS = 64
+# Sizes of the blocks whose term weights are multiplied.
+DOCS_PER_PRODUCT, QUERIES_PER_PRODUCT = 256, 256
 
 
 def lexical_documents(silver: DataFrame) -> DataFrame:
@@ -108,8 +113,8 @@ def term_bucket(term: Column, buckets: Column) -> Column:
 class LexicalIndex:
     """The tables a search needs; build them once and keep them as partitioned files.
 
-    ``postings`` is stored by ``term_bucket`` and sorted by term inside the files, so
-    a search reads the buckets of its query terms and skips row groups by term range.
+    ``postings`` is stored by ``term_bucket``, so a search for few terms reads their
+    buckets only.
     """
 
     postings: DataFrame
@@ -179,81 +184,141 @@ def query_terms(
     )
 
 
-def _bm25(tf: Column, dl: Column, avg_dl: Column, df: Column, n_docs: Column) -> Column:
-    idf = F.log1p((n_docs - df + 0.5) / (df + 0.5))
-    return idf * tf / (tf + BM25_K1 * (1 - BM25_B + BM25_B * dl / avg_dl))
+MATCHED = "content_hash string, title_dl bigint, text_dl bigint, slots array<int>, tfs array<bigint>"
 
 
-def _matches_of_small_batch(fields: DataFrame, terms: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Matching postings and statistics when the distinct query terms fit in memory.
-
-    The terms are broadcast against the documents' own term counts, so only matches
-    leave the scan's stage. A marker term carries every document's length along: one
-    pass over the corpus, written to the shared folder, yields the matches, the
-    document frequencies and the length averages. Matches are then partitioned by
-    document, so that a document's scores are summed, and each task's best picked,
-    without moving (query, document) pairs.
-    """
-    spark = terms.sparkSession
-    wanted = terms.select("term").distinct().union(spark.range(1).select(F.lit(MARKER).alias("term")))
-    matches = written(
-        fields.select("content_hash", "field", "dl", F.inline(F.concat(marker_entry(), F.col("terms")))).join(
-            F.broadcast(wanted), "term", "left_semi"
-        ),
-        "matches",
-    )
-    per_term = matches.groupBy("field", "term").agg(
-        F.count("*").alias("df"), F.sum("dl").alias("_dl")
-    )
-    per_field = per_term.filter(F.col("term") == MARKER).select(
-        "field", F.col("df").alias("n_docs"), (F.col("_dl") / F.col("df")).alias("avg_dl")
-    )
-    stats = per_term.filter(F.col("term") != MARKER).join(F.broadcast(per_field), "field")
-    hits = matches.filter(F.col("term") != MARKER).repartition("content_hash")
-    return hits, stats.select("field", "term", "df", "n_docs", "avg_dl")
+@dataclass(frozen=True)
+class _Batch:
+    """Queries with their terms: a term's place, and per query the places of its terms."""
 
+    terms: list[str]
+    queries: list
+    places: list[np.ndarray]
 
-def _score_broadcast(matches: DataFrame, stats: DataFrame, terms: DataFrame) -> DataFrame:
-    weighted = matches.join(F.broadcast(stats), ["field", "term"]).select(
-        "content_hash", "field", "term",
-        _bm25(*[F.col(c) for c in ("tf", "dl", "avg_dl", "df", "n_docs")]).alias("w"),
-    )
-    return weighted.join(F.broadcast(terms), "term")
+    @classmethod
+    def of(cls, pairs: list) -> _Batch:
+        terms = sorted({p["term"] for p in pairs})
+        place = {t: i for i, t in enumerate(terms)}
+        by_query: dict = {}
+        for p in pairs:
+            by_query.setdefault(p["query_id"], []).append(place[p["term"]])
+        return cls(terms, list(by_query), [np.array(v, np.int64) for v in by_query.values()])
 
 
-def _score_salted(index: LexicalIndex, terms: DataFrame) -> DataFrame:
-    """The same scores when the query terms are too many to broadcast.
+def _matched(fields: DataFrame, batch: _Batch) -> DataFrame:
+    """One row per document: field lengths, and the wanted terms it holds, by slot.
 
-    Both joins are shuffled. Terms are repeated once per salt, and the postings of a
-    term are spread over the salts by document, so no frequent term fills one task.
+    A slot is a term's place, plus the number of terms for the text field. The fields
+    of a document follow each other, so they are put together where they are.
     """
-    entries = index.postings.withColumn("salt", F.pmod(F.xxhash64("content_hash"), F.lit(SALTS)))
-    stats = (
-        index.term_stats.join(terms.select("term").distinct(), "term", "left_semi")
-        .join(F.broadcast(index.field_stats), "field")
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-    )
-    weighted = entries.join(stats, ["field", "term", "salt"]).select(
-        "content_hash", "field", "term", "salt",
-        _bm25(*[F.col(c) for c in ("tf", "dl", "avg_dl", "df", "n_docs")]).alias("w"),
-    )
-    salted = terms.withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>"))
-    )
-    return weighted.join(salted, ["term", "salt"]).drop("salt")
-
-
-def _best_field(parts: DataFrame) -> DataFrame:
-    """Sum per field, boost the title, keep the better field; rounded to rank alike."""
-    per_field = [
-        F.sum(F.when(F.col("field") == f, F.col("w"))).alias(f"_{f}") for f in FIELDS
-    ]
-    score = F.greatest(F.col("_title") * TITLE_BOOST, F.col("_text"))
-    return (
-        parts.groupBy("query_id", "content_hash")
-        .agg(*per_field)
-        .select("query_id", "content_hash", F.round(score, SCORE_DIGITS).alias("score"))
-    )
+    shared = fields.sparkSession.sparkContext.broadcast(batch.terms)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = pa.array(shared.value, pa.string())
+        pending: list | None = None
+
+        def out(rows: list) -> pa.RecordBatch:
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())]
+            columns = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
+                ["content_hash", "title_dl", "text_dl", "slots", "tfs"],
+            )
+
+        for part in batches:
+            rows = []
+            terms = part.column("terms")
+            entries = terms.flatten()
+            at = pc.index_in(entries.field("term"), value_set=wanted)
+            places = at.fill_null(-1).to_numpy(zero_copy_only=False)
+            tfs = entries.field("tf").to_numpy(zero_copy_only=False)
+            ends = np.cumsum(pc.list_value_length(terms).to_numpy(zero_copy_only=False))
+            hashes, names = part.column("content_hash").to_pylist(), part.column("field").to_pylist()
+            for i, dl in enumerate(part.column("dl").to_pylist()):
+                if pending is None or pending[0] != hashes[i]:
+                    if pending is not None:
+                        rows.append(pending)
+                    pending = [hashes[i], None, None, [], []]
+                own = slice(ends[i - 1] if i else 0, ends[i])
+                hit = places[own] >= 0
+                is_text = names[i] != FIELDS[0]
+                pending[2 if is_text else 1] = dl
+                pending[3] = pending[3] + (places[own][hit] + is_text * len(wanted)).tolist()
+                pending[4] = pending[4] + tfs[own][hit].tolist()
+            if rows:
+                yield out(rows)
+        if pending is not None:
+            yield out([pending])
+
+    return fields.select("content_hash", "field", "dl", "terms").mapInArrow(run, MATCHED)
+
+
+def _statistics(matched: DataFrame, n_terms: int) -> tuple[np.ndarray, list, list]:
+    """Document frequency per slot, and documents and mean length per field."""
+    frequencies = np.zeros(2 * n_terms)
+    for row in matched.select(F.explode("slots").alias("slot")).groupBy("slot").count().collect():
+        frequencies[row["slot"]] = row["count"]
+    lengths = matched.agg(*[f(f"{n}_dl") for n in FIELDS for f in (F.count, F.avg)]).first()
+    return frequencies, [lengths[0], lengths[2]], [lengths[1], lengths[3]]
+
+
+def _best_documents(matched: DataFrame, batch: _Batch, statistics: tuple, k: int, id_type: T.DataType) -> DataFrame:
+    """Each task's own best ``k`` documents per query.
+
+    A block of documents is a matrix of term weights; its product with the terms of a
+    block of queries gives their scores. What leaves a task is bounded by ``k`` and the
+    number of queries; no (query, document) or (query, posting) row is ever made.
+    """
+    schema = T.StructType([
+        T.StructField("query_id", id_type), T.StructField("content_hash", T.StringType()), T.StructField("score", T.DoubleType())
+    ])
+    shared = matched.sparkSession.sparkContext.broadcast((batch, statistics))
+    id_arrow = pa.string() if id_type == T.StringType() else pa.int64()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, (frequencies, n_docs, avg_dl) = shared.value
+        n = len(asked.terms)
+        blocks = []
+        for at in range(0, len(asked.queries), QUERIES_PER_PRODUCT):
+            places = asked.places[at : at + QUERIES_PER_PRODUCT]
+            used = np.unique(np.concatenate(places))
+            column = np.full(n, -1)
+            column[used] = np.arange(len(used))
+            holds = np.zeros((len(used), len(places)))
+            for q, own in enumerate(places):
+                holds[column[own], q] = 1
+            blocks.append((column, holds, TaskBest(asked.queries[at : at + QUERIES_PER_PRODUCT], k)))
+        idf = np.concatenate([
+            np.log1p((d - f + 0.5) / (f + 0.5)) for d, f in zip(n_docs, np.split(frequencies, 2), strict=True)
+        ]) if n else np.zeros(0)
+        for part in batches:
+            for start in range(0, part.num_rows, DOCS_PER_PRODUCT):
+                some = part.slice(start, DOCS_PER_PRODUCT)
+                slots = some.column("slots").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                tf = some.column("tfs").flatten().to_numpy(zero_copy_only=False)
+                row = np.repeat(np.arange(some.num_rows), pc.list_value_length(some.column("slots")).to_numpy(zero_copy_only=False))
+                is_text = slots >= n
+                dl = [np.nan_to_num(some.column(f"{f}_dl").cast(pa.float64()).to_numpy(zero_copy_only=False)) for f in FIELDS]
+                length = np.where(is_text, dl[1][row] / (avg_dl[1] or 1), dl[0][row] / (avg_dl[0] or 1))
+                weight = idf[slots] * tf / (tf + BM25_K1 * (1 - BM25_B + BM25_B * length))
+                for column, holds, best in blocks:
+                    score = np.zeros((some.num_rows, holds.shape[1]))
+                    for chosen, boost in ((~is_text, TITLE_BOOST), (is_text, 1.0)):
+                        where = column[slots[chosen] % n] if n else slots[chosen]
+                        inside = where >= 0
+                        weights = np.zeros((some.num_rows, len(holds)))
+                        weights[row[chosen][inside], where[inside]] = weight[chosen][inside]
+                        score = np.maximum(score, boost * (weights @ holds))
+                    best.add(np.where(score > 0, np.round(score, SCORE_DIGITS), -np.inf), some.column("content_hash"))
+        found = [r for _, _, best in blocks for r in best.rows()]
+        if found:
+            ids, keys, scores = zip(*found, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, id_arrow), pa.array(keys, pa.string()), pa.array(scores, pa.float64())],
+                ["query_id", "content_hash", "score"],
+            )
+
+    return matched.mapInArrow(run, schema)
 
 
 def top_k(scored: DataFrame, k: int, key: str) -> DataFrame:
@@ -262,6 +327,21 @@ def top_k(scored: DataFrame, k: int, key: str) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
 
 
+def _batches(terms: DataFrame, max_pairs: int) -> Iterator[_Batch]:
+    """The queries in as many batches as their counted (query, term) pairs need, each bounded."""
+    count = max(1, -(-terms.count() // max_pairs))
+    numbered = terms.withColumn("_b", F.pmod(F.xxhash64("query_id"), F.lit(count)))
+    for number in range(count):
+        yield _Batch.of(numbered.filter(F.col("_b") == number).select("query_id", "term").collect())
+
+
+def _answered(spark, parts: list[DataFrame], k: int, id_type: T.DataType) -> DataFrame:
+    if not parts:
+        schema = T.StructType([T.StructField("query_id", id_type), T.StructField("content_hash", T.StringType()), T.StructField("score", T.DoubleType())])
+        parts = [spark.createDataFrame([], schema)]
+    return top_k(reduce(DataFrame.unionByName, parts), k, "content_hash")
+
+
 def search(
     questions: DataFrame,
     documents: DataFrame,
@@ -269,23 +349,24 @@ def search(
     lang: str | None = None,
     rewrite: bool = False,
     stemmer: Callable[[Column], Column] | None = None,
-    max_terms: int = MAX_BROADCAST_ROWS,
+    max_pairs: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """``(query_id, content_hash, score, rank)`` for a batch of questions.
 
-    ``documents`` are those of :func:`lexical_documents`. The ``(query, term)`` pairs
-    are counted first: a batch that fits is broadcast, a larger one is joined by
-    shuffle with index tables stored for the purpose.
+    ``documents`` are those of :func:`lexical_documents`. One pass analyses them and
+    stores, per document, its lengths and the wanted terms it holds; a pass over that
+    small table scores. The terms go to all tasks in batches of ``max_pairs`` counted
+    (query, term) pairs; more queries take more passes of the same kind.
     """
     terms = query_terms(questions, rewrite, lang, stemmer)
-    if fits(terms, max_terms):
-        fields = field_terms(search_fields(documents, lang), lang, stemmer)
-        parts = _score_broadcast(*_matches_of_small_batch(fields, terms), terms)
-    else:
-        folder = shared_folder(documents.sparkSession, "index")
-        LexicalIndex.write(documents, folder, lang, stemmer)
-        parts = _score_salted(LexicalIndex.read(documents.sparkSession, folder, lang), terms)
-    return top_k(_best_field(parts), k, "content_hash")
+    fields = field_terms(search_fields(documents, lang), lang, stemmer)
+    id_type, parts = questions.schema["query_id"].dataType, []
+    for batch in _batches(terms, max_pairs):
+        if batch.queries:
+            matched = written(_matched(fields, batch), "matches")
+            statistics = _statistics(matched, len(batch.terms))
+            parts.append(_best_documents(matched, batch, statistics, k, id_type))
+    return _answered(questions.sparkSession, parts, k, id_type)
 
 
 def search_index(
@@ -294,28 +375,41 @@ def search_index(
     k: int = MIN_DEPTH,
     rewrite: bool = False,
     stemmer: Callable[[Column], Column] | None = None,
-    max_terms: int = MAX_BROADCAST_ROWS,
+    max_pairs: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Like :func:`search`, over stored index tables."""
+    """Like :func:`search`, over stored index tables.
+
+    The postings of the wanted terms are put together by document; nothing else is read.
+    """
+    spark = questions.sparkSession
     terms = query_terms(questions, rewrite, index.lang, stemmer)
-    if fits(terms, max_terms):
-        keys = terms.select("term").distinct()
+    id_type, parts = questions.schema["query_id"].dataType, []
+    lengths = {r["field"]: r for r in index.field_stats.collect()}
+    for batch in _batches(terms, max_pairs):
+        if not batch.queries:
+            continue
+        n = len(batch.terms)
+        keys = spark.createDataFrame(list(enumerate(batch.terms)), "place int, term string")
         on = ["term"]
         if "term_bucket" in index.postings.columns:
-            buckets = index.field_stats.agg(F.max("n_buckets")).scalar()
+            buckets = F.lit(index.field_stats.agg(F.max("n_buckets")).first()[0] or 1)
             keys = keys.withColumn("term_bucket", term_bucket(F.col("term"), buckets))
             on = ["term_bucket", "term"]
         keys = F.broadcast(keys)
-        stats = index.term_stats.join(keys, on, "left_semi").join(
-            F.broadcast(index.field_stats), "field"
-        ).select("field", "term", "df", "n_docs", "avg_dl")
-        entries = index.postings.join(keys, on, "left_semi").select(
-            "content_hash", "field", "term", "tf", "dl"
-        ).repartition("content_hash")
-        parts = _score_broadcast(entries, stats, terms)
-    else:
-        parts = _score_salted(index, terms)
-    return top_k(_best_field(parts), k, "content_hash")
+        slot = F.col("place") + F.when(F.col("field") == FIELDS[0], 0).otherwise(n)
+        frequencies = np.zeros(2 * n)
+        for r in index.term_stats.join(keys, on).select(slot.alias("slot"), "df").collect():
+            frequencies[r["slot"]] = r["df"]
+        dl = [F.max(F.when(F.col("field") == f, F.col("dl"))).cast("bigint").alias(f"{f}_dl") for f in FIELDS]
+        matched = index.postings.join(keys, on).groupBy("content_hash").agg(
+            *dl, F.collect_list(F.struct(slot.cast("int").alias("slot"), F.col("tf").cast("bigint").alias("tf"))).alias("hits")
+        ).select("content_hash", "title_dl", "text_dl", F.col("hits.slot").alias("slots"), F.col("hits.tf").alias("tfs"))
+        statistics = (
+            frequencies, [lengths[f]["n_docs"] if f in lengths else 0 for f in FIELDS],
+            [lengths[f]["avg_dl"] if f in lengths else 0 for f in FIELDS],
+        )
+        parts.append(_best_documents(matched, batch, statistics, k, id_type))
+    return _answered(spark, parts, k, id_type)
 
 
 def with_hits(

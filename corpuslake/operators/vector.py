@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpuslake.operators.best import TaskBest
 from corpuslake.operators.lexical import top_k
 from corpuslake.session import shared_folder, written
 from corpuslake.settings import MAX_QUERY_BLOCK, SCORE_DIGITS
@@ -56,29 +57,14 @@ def _partial_top_k(vectors: DataFrame, queries: list, k: int, key: str, column:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, wanted = shared.value
-        best: list[list] = [[] for _ in names]
-        floors = np.full(len(names), -np.inf)
-        key_type = None
+        best, key_type = TaskBest(names, k), None
         for batch in batches:
             key_type = batch.schema.field(key).type
             for start in range(0, batch.num_rows, ROWS_PER_PRODUCT):
                 part = batch.slice(start, ROWS_PER_PRODUCT)
                 rows = unit_rows(list_matrix(part.column(column), dims))
-                scores = np.round(rows @ wanted.T, SCORE_DIGITS) + 0.0
-                if len(scores) > k:
-                    own = np.partition(scores, len(scores) - k, axis=0)[len(scores) - k]
-                    floors = np.maximum(floors, own)
-                # Only rows that reach a query's k-th best so far are looked at.
-                q_at, row_at = np.nonzero((scores >= floors).T)
-                keys = part.column(key).take(pa.array(row_at)).to_pylist()
-                ends = np.searchsorted(q_at, np.arange(len(names) + 1))
-                for q in np.unique(q_at):
-                    found = slice(ends[q], ends[q + 1])
-                    values = (-scores[row_at[found], q]).tolist()
-                    best[q] = sorted(best[q] + list(zip(values, keys[found])))[:k]
-                    if len(best[q]) == k:
-                        floors[q] = max(floors[q], -best[q][-1][0])
-        rows_out = [(names[q], key_, -s) for q, hits in enumerate(best) for s, key_ in hits]
+                best.add(np.round(rows @ wanted.T, SCORE_DIGITS) + 0.0, part.column(key))
+        rows_out = best.rows()
         if rows_out:
             ids_out, keys_out, scores_out = zip(*rows_out)
             yield pa.RecordBatch.from_arrays(

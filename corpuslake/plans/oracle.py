@@ -398,6 +398,11 @@ rows_ AS (
   FROM bus)"""
 
 FEEDS = "feeds AS (SELECT source AS id, min(lang) AS lang FROM documents GROUP BY 1)"
+# One article per feed and guid, the first that landed; every store holds what is its own once.
+STAGE_ROWS = """
+SELECT 'https://x.example/' || min(doc_id) AS url, source AS feed_id, 'embedded' AS status, 1 AS bronze, 1 AS silver,
+  1 AS events, 1 AS lexical, 0 AS doubled_chunks, true AS chunked
+FROM documents GROUP BY source, doc_id // 2"""
 PAGE_COLUMNS = (
     f"id, feed_id, url, item_key, content_hash, s3_uri, silver_s3_uri, title, {_day('published_at')} AS published_at, "
     f"status, {_day('fetched_at')} AS fetched_at, {_day('updated_at')} AS updated_at"
@@ -576,6 +581,8 @@ SELECT feed_id AS key, '{"event":"article.ingested","feed_id":' || to_json(feed_
   ',"s3_uri":' || to_json(s3_uri) || ',"content_hash":' || to_json(content_hash) || ',"item_key":' || to_json(item_key) ||
   CASE WHEN feed_lang IS NULL THEN '' ELSE ',"feed_lang":' || to_json(feed_lang) END || '}' AS value
 FROM articles"""),
+    "stages_run": STAGE_ROWS,
+    "stages_resumed": STAGE_ROWS,
     "html_marks": """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i

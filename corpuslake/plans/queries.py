@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -428,6 +430,60 @@ def html_text(spark, sf):
     return t.text_table(spark, sf, "pages").select("page_id", text.html_text(F.col("html")).alias("text"))
 
 
+def _landed(spark, sf) -> DataFrame:
+    """Entries whose guid two documents share, within a feed or across feeds."""
+    none = F.lit(None).cast("string")
+    return t.read(spark, sf, "documents").select(
+        F.col("source").alias("feed_id"), F.col("doc_id").cast("int").alias("position"),
+        F.concat(F.lit("t "), "doc_id").alias("title"), F.concat(F.lit("https://x.example/"), "doc_id").alias("link"),
+        F.concat(F.lit("id-"), F.floor(F.col("doc_id") / 2).cast("string")).alias("id"), none.alias("guid"),
+        F.col("text").alias("summary"), none.alias("published"), none.alias("updated"), none.alias("author"),
+        F.array().cast("array<string>").alias("tags"),
+    )
+
+
+def _stage_tables(home: stages.Lake) -> DataFrame:
+    """Per article: status, and how often each store holds its object, event and documents."""
+    def per(rows: DataFrame, key: str, name: str) -> DataFrame:
+        return rows.groupBy(F.col(key)).agg(F.count("*").alias(name))
+
+    a = home.articles.current().select("url", "feed_id", "status", "content_hash", F.col("s3_uri").alias("uri"))
+    sent = bus.ingested_events(bus.read_messages(home.spark, home.bus))
+    chunks = home.chunk_vectors()
+    doubled = chunks.groupBy("content_hash").agg(
+        (F.count("*") - F.countDistinct("chunk_id")).alias("doubled_chunks"), (F.count("*") > 0).alias("chunked")
+    )
+    silver = per(home.silver.current().withColumn("uri", F.replace("uri", F.lit("/silver/"), F.lit("/bronze/"))), "uri", "silver")
+    return (
+        a.join(per(home.bronze.versions(), "uri", "bronze"), "uri", "left").join(silver, "uri", "left")
+        .join(per(sent, "url", "events"), "url", "left")
+        .join(per(home.lexical_documents.current(), "content_hash", "lexical"), "content_hash", "left")
+        .join(doubled, "content_hash", "left")
+        .select("url", "feed_id", "status", "bronze", "silver", "events", "lexical", "doubled_chunks", "chunked")
+    )
+
+
+def _home(spark, sf, name: str) -> stages.Lake:
+    return stages.Lake(spark, shared_folder(spark, name), t.registry(spark, sf), langid.train(t.text_table(spark, sf)))
+
+
+def stages_run(spark, sf):
+    """All stages over the documents as landed entries, run twice; the second adds nothing."""
+    home, pages = _home(spark, sf, "stages"), t.read(spark, sf, "pages")
+    for _ in range(2):
+        stages.run_stages(home, datetime(2024, 2, 1), _landed(spark, sf), pages)
+    return _stage_tables(home)
+
+
+def stages_resumed(spark, sf):
+    """An ingest that stops before it publishes and marks entries seen, then all stages from the bus."""
+    home, pages = _home(spark, sf, "stages"), t.read(spark, sf, "pages")
+    now = datetime(2024, 2, 1)
+    stages.collect_entries(home, _landed(spark, sf), now)
+    stages.run_stages(home, now, _landed(spark, sf), pages, from_bus=True)
+    return _stage_tables(home)
+
+
 def html_marks(spark, sf):
     """Documents in pages of their own, with entities of every kind and classes in every quoting."""
     drop = ['<div class="ad banner">x</div>', "<DIV id=a class='wide ads'>x</DIV>", "<div class=share>x</div>"]
@@ -839,6 +895,6 @@ QUERIES = {
         vector_only_retrieve, lexical_only_retrieve, search_response, citations, prompt_assembly,
         sources_footer, answer_routing, case_scores, eval_summary, recall_report, recall_cases,
         last_user_message, answer_citations, stream_dedup, stream_upsert, stream_replay,
-        published_dates, landed_feeds, silver_build, stream_bus,
+        published_dates, landed_feeds, silver_build, stream_bus, stages_run, stages_resumed,
     )
 }

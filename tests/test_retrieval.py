@@ -59,23 +59,23 @@ def ranked(df):
     return out
 
 
-@pytest.mark.parametrize("max_terms", [1000, 2])
-def test_bm25_equals_brute_force(spark, max_terms):
+@pytest.mark.parametrize("max_pairs", [1000, 2])
+def test_bm25_equals_brute_force(spark, max_pairs):
     docs, rows = corpus(spark)
     asked = spark.createDataFrame(QUERIES, "query_id long, question string")
-    got = ranked(lexical.search(asked, docs, 7, max_terms=max_terms).select("query_id", "content_hash", "score", "rank"))
+    got = ranked(lexical.search(asked, docs, 7, max_pairs=max_pairs).select("query_id", "content_hash", "score", "rank"))
     want = {q: brute_bm25(rows, text, 7) for q, text in QUERIES}
     assert got == {q: v for q, v in want.items() if v}
 
 
-@pytest.mark.parametrize("max_terms", [1000, 2])
-def test_stored_index_gives_the_same(spark, tmp_path, max_terms):
+@pytest.mark.parametrize("max_pairs", [1000, 2])
+def test_stored_index_gives_the_same(spark, tmp_path, max_pairs):
     docs, _ = corpus(spark)
     asked = spark.createDataFrame(QUERIES, "query_id long, question string")
     lexical.LexicalIndex.write(docs, str(tmp_path), buckets=4)
     index = lexical.LexicalIndex.read(spark, str(tmp_path))
     cols = ["query_id", "content_hash", "score", "rank"]
-    assert ranked(lexical.search_index(asked, index, 7, max_terms=max_terms).select(cols)) == ranked(
+    assert ranked(lexical.search_index(asked, index, 7, max_pairs=max_pairs).select(cols)) == ranked(
         lexical.search(asked, docs, 7).select(cols)
     )
 
