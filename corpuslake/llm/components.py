@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from corpuslake.llm.common import discard, join_counted, store
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour and no larger ones, or only larger ones."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up")))
+    ups = ends.groupBy("node").agg(F.sum("up").alias("ups"), F.count("*").alias("n"))
+    return ups.filter("ups > 1 OR (ups = 1 AND n > 1)").isEmpty()
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -24,23 +27,19 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     spark = edges.sparkSession
     oriented = edges.filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
     e, folder = store(oriented.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "components")
-    state = _state(e)
-    while state[0]:
+    while not _are_stars(e):
+        count = e.count()
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         nearest = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
         large = (
-            join_counted(both.filter("v > u"), nearest, "u", "n", 2 * state[0])
+            join_counted(both.filter("v > u"), nearest, "u", "n", 2 * count)
             .select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
         )
         smallest = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-        moved = join_counted(large, smallest, "u", "n", 2 * state[0]).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        moved = join_counted(large, smallest, "u", "n", 2 * count).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = moved.unionByName(smallest.select("u", F.col("m").alias("v"))).distinct()
         following, new_folder = store(small, "components")
-        new_state = _state(following)
         discard(spark, folder)
         e, folder = following, new_folder
-        if new_state == state:
-            break
-        state = new_state
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

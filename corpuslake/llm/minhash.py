@@ -6,8 +6,10 @@ i - ``COORDINATES``. A bin keeps its smallest value and the rounds end when all
 filled, after one or two for long texts and surely after twice as many as there are bins.
 
 Texts with equal shingle sets are one class. Classes meet in the buckets of their bands;
-in a bucket all are compared with a leader, and the pairs left over are those of members
-that no link has brought together. Every comparison is made on the full sets.
+in a bucket all are compared with a leader, the member that shares its buckets with most
+others and so is nearest to what they are copies of. In the buckets whose members are not
+all connected then, members too many of whose shingles no other text has leave, and the others
+are compared within tasks, block by block. Every comparison is made on the full sets.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -27,8 +30,8 @@ from corpuslake.llm.words import WordHashes, mixed, shingle_set, similar
 COORDINATES = 128
 #: Coordinates in a band. At similarity 0.85 a pair shares no band with probability 6e-11, at 0.8 with 5e-8.
 BAND = 4
-#: Rounds in which all members of a bucket are compared with one; what is still apart then is paired.
-LEADER_ROUNDS = 2
+#: Members of a block, and columns of an incidence matrix, in the comparison of what is left over.
+GROUP_BLOCK, COLUMNS = 1_000, 4_096
 
 
 def sketches(sets: list[np.ndarray], coordinates: int = COORDINATES) -> np.ndarray:
@@ -80,7 +83,7 @@ def _sketched(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _links(pairs: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar; ``texts`` has one per class."""
+    """The pairs (a, b) of classes whose full shingle sets are similar; ``texts`` has one per class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, last, mine = WordHashes(), None, None
@@ -93,11 +96,106 @@ def _links(pairs: DataFrame, texts: DataFrame, size: int, threshold: float) -> D
                     last, mine = a[i], shingle_set((left[i].as_py() or "").encode(), size, known)
                 if similar(mine, shingle_set((right[i].as_py() or "").encode(), size, known), threshold):
                     found.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array([c[i] for i in found], pa.binary()) for c in (a, b)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array([c[i] for i in found], pa.int64()) for c in (a, b)], ["a", "b"])
 
-    one = pairs.join(texts.select(F.col("set").alias("b"), F.col("text").alias("b_text")), "b")
-    two = one.join(texts.select(F.col("set").alias("a"), F.col("text").alias("a_text")).hint("merge"), "a")
-    return two.select("a", "b", "a_text", "b_text").mapInArrow(run, "a binary, b binary")
+    one = pairs.join(texts.select(F.col("nr").alias("b"), F.col("text").alias("b_text")), "b")
+    two = one.join(texts.select(F.col("nr").alias("a"), F.col("text").alias("a_text")).hint("merge"), "a")
+    return two.select("a", "b", "a_text", "b_text").mapInArrow(run, "a bigint, b bigint")
+
+
+def _shared(texts: DataFrame, size: int) -> DataFrame:
+    """Per class, how many of its shingles another one of ``texts`` has too: nr, n, shared."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for part, bodies in slices(batches):
+            numbers = part.column("nr").to_pylist()
+            sets = [shingle_set(t, size, known) for t in bodies]
+            nr = np.repeat(np.array(numbers, np.int64), [len(s) for s in sets])
+            yield pa.RecordBatch.from_arrays([pa.array(nr), pa.array(np.concatenate(sets).view(np.int64))], ["nr", "shingle"])
+
+    each = texts.select("nr", "text").mapInArrow(run, "nr bigint, shingle bigint")
+    once = each.groupBy("shingle").agg(F.count("*").alias("k"), F.min("nr").alias("nr")).filter("k = 1")
+    alone = once.groupBy("nr").agg(F.count("*").alias("alone"))
+    return texts.select("nr", "n").join(alone, "nr", "left").select("nr", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
+
+
+def _block_links(mine: list[np.ndarray], theirs: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all similar pairs of two lists of sets, by exact counts of common elements.
+
+    Elements that only one set has can't be common; the others are the columns of two
+    incidence matrices, multiplied some thousand columns at a time.
+    """
+    owner = np.repeat(np.arange(len(mine) + len(theirs)), [len(s) for s in (*mine, *theirs)])
+    names, place, times = np.unique(np.concatenate([*mine, *theirs]), return_inverse=True, return_counts=True)
+    order = np.argsort(place, kind="stable")
+    place, owner = place[order], owner[order]
+    common = np.zeros((len(mine), len(theirs)), np.float32)
+    often = times[place] > 1
+    place, owner = place[often], owner[often]
+    for first in range(0, len(names), COLUMNS):
+        low, high = np.searchsorted(place, [first, first + COLUMNS])
+        if high > low:
+            columns, at = np.unique(place[low:high], return_inverse=True)
+            held = np.zeros((len(mine) + len(theirs), len(columns)), np.float32)
+            held[owner[low:high], at] = 1
+            common += held[: len(mine)] @ held[len(mine) :].T
+    sizes = np.array([len(s) for s in mine])[:, None] + np.array([len(s) for s in theirs])[None, :]
+    return np.nonzero(100 * common >= percent * (sizes - common))
+
+
+def _leftover_links(held: DataFrame, roots: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame | None:
+    """Links between unconnected members of a bucket, or None when all buckets are connected.
+
+    One of two such members is outside the bucket's largest component. A member of whose
+    shingles too few occur in any other text is certain not to be linked. The others are
+    compared on their full sets, group by group, a group being all that meet one largest
+    component; a group is dealt out in pairs of blocks of ``GROUP_BLOCK`` members, and of the
+    links of a member to a component one is passed on.
+    """
+
+    def parts(members: DataFrame, stored: str) -> tuple[DataFrame, int]:
+        """Members of the buckets with several components, with the largest one's root."""
+        sizes = members.groupBy("band", "root").agg(F.count("*").alias("n"))
+        several = sizes.groupBy("band").agg(
+            F.count("*").alias("roots"), F.sum("n").alias("members"), F.max(F.struct("n", "root"))["root"].alias("main")
+        ).filter("roots > 1").drop("roots")
+        several, _ = store(several, "open-buckets")
+        total = several.agg(F.sum("members")).first()[0] or 0
+        return store(join_counted(members, several, "band", "members", total), stored)[0], total
+
+    rooted = held.filter("n > 2").drop("n").join(roots.withColumnRenamed("node", "nr"), "nr", "left").withColumn("root", F.coalesce("root", "nr"))
+    apart, total = parts(rooted, "open-members")
+    if not total:
+        return None
+    shared = _shared(texts.join(apart.select("nr").distinct(), "nr", "left_semi"), size)
+    able = shared.filter(100 * F.col("shared") >= percent * F.col("n")).select("nr")
+    rest, total = parts(apart.drop("main", "members").join(able, "nr", "left_semi").filter("nr <> leader"), "leftover-members")
+    if not total:
+        return None
+    met, _ = store(rest.select("main", "nr", "root").distinct(), "leftover-groups")
+    outside = (F.col("root") != F.col("main"))
+    blocks = met.groupBy("main").agg(
+        F.count("*").alias("n"), F.ceil(F.count("*") / GROUP_BLOCK).alias("m_blocks"), F.ceil(F.count_if(outside) / GROUP_BLOCK).alias("o_blocks")
+    )
+    dealt = join_counted(met, blocks, "main", "n", met.count())
+    own = lambda n: F.pmod(F.xxhash64("nr"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    sides = dealt.select("main", "nr", "root", F.lit(False).alias("out"), own("m_blocks").alias("m"), every("o_blocks").alias("o")).unionByName(
+        dealt.filter(outside).select("main", "nr", "root", F.lit(True).alias("out"), own("o_blocks").alias("o"), every("m_blocks").alias("m"))
+    )
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        known = WordHashes()
+        o, m = pdf[pdf["out"]], pdf[~pdf["out"]]
+        sets = [[shingle_set((t or "").encode(), size, known) for t in side["text"]] for side in (o, m)]
+        if not len(o) or not len(m):
+            return pd.DataFrame({"a": [], "b": []})
+        at, to = _block_links(*sets, percent)
+        found = pd.DataFrame({"a": o["nr"].to_numpy()[at], "b": m["nr"].to_numpy()[to], "x": o["root"].to_numpy()[at], "y": m["root"].to_numpy()[to]})
+        return found[found["x"] != found["y"]].drop_duplicates(["a", "y"])[["a", "b"]]
+
+    return sides.join(texts.select("nr", "text"), "nr").groupBy("main", "o", "m").applyInPandas(compare, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -110,58 +208,38 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, key:
     A null id is passed over unless all of a component are null. Repeated rows each give
     a row. Other columns are not read, whatever their names. Empty in, empty out.
 
-    Only classes are paired. A large bucket costs a comparison per member and round; the
-    pairs after the last round are those between members of different components, with
-    one side outside the bucket's largest.
+    Copies are one class and never paired. A bucket costs a comparison per member; members
+    that are neither connected nor excluded then are compared within tasks, which pass
+    on links only.
     """
     rows = docs.select(row_key(key, text).alias("doc"), F.col(key).alias("id"), F.col(text).alias("text"))
     sketched, _ = store(_sketched(rows, size), "sketches")
     filled = sketched.filter("n > 0")
-    classes, _ = store(filled.groupBy("set").agg(F.count("*").alias("copies"), F.min("id").alias("low"), F.min("doc").alias("doc")), "classes")
+    grouped = filled.groupBy("set").agg(F.count("*").alias("copies"), F.min("id").alias("low"), F.min("doc").alias("doc"), F.max("n").alias("n"))
+    classes, _ = store(grouped.withColumn("nr", F.monotonically_increasing_id()), "classes")
     members = (
-        filled.select("doc", "set", "bands").join(classes.select("doc", "set"), ["doc", "set"], "left_semi").dropDuplicates(["set"])
-        .select("set", F.explode("bands").alias("band"))
+        filled.select("doc", "set", "bands").join(classes.select("nr", "doc", "set"), ["doc", "set"]).dropDuplicates(["nr"])
+        .select("nr", F.explode("bands").alias("band"))
     )
-    places = members.groupBy("band").agg(F.count("*").alias("n"), F.min("set").alias("leader")).filter("n > 1")
-    buckets, _ = store(places, "buckets")
+    buckets, _ = store(members.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
     total = buckets.agg(F.sum("n")).first()[0] or 0
-    held, _ = store(join_counted(members, buckets, "band", "n", total), "bucket-members")
-    wanted = held.select("set").distinct()
+    met, _ = store(join_counted(members, buckets, "band", "n", total), "bucket-members")
+    met_by = met.groupBy("nr").agg(F.sum("n").alias("met"))
+    leaders, _ = store(
+        met.join(met_by, "nr").groupBy("band").agg(F.count("*").alias("members"), F.max(F.struct("met", "nr"))["nr"].alias("leader")), "leaders"
+    )
+    held, _ = store(join_counted(met, leaders, "band", "members", total).drop("members"), "led-members")
     texts, _ = store(
-        rows.join(classes.join(wanted, "set", "left_semi").select("doc", "set"), "doc").select("set", "text").dropDuplicates(["set"]), "class-texts"
+        rows.join(classes.join(met_by, "nr", "left_semi").select("nr", "n", "doc"), "doc").select("nr", "n", "text").dropDuplicates(["nr"]), "class-texts"
     )
-    pairs = held.filter("set <> leader").select(F.col("leader").alias("a"), F.col("set").alias("b")).distinct()
+    pairs = held.filter("nr <> leader").select(F.col("leader").alias("a"), F.col("nr").alias("b")).distinct()
     links, _ = store(_links(pairs, texts, size, threshold), "links")
     roots, _ = store(components(links, "a", "b"), "roots")
-    for last in range(1, LEADER_ROUNDS + 1):
-        # Members by component; a bucket of one component, or of two members, is done.
-        apart, _ = store(held.filter("n > 2").join(roots.withColumnRenamed("node", "set"), "set", "left")
-            .select("band", "set", "leader", F.coalesce("root", "set").alias("root")), "apart")
-        sizes = apart.groupBy("band", "root").agg(F.count("*").alias("n"), F.min("set").alias("low"))
-        order = F.struct(F.col("n"), F.col("root"))
-        open_ = sizes.groupBy("band").agg(
-            F.count("*").alias("parts"), F.sum("n").alias("n"), F.max(order)["root"].alias("main"),
-            F.min(F.struct(F.col("n"), F.col("low")))["low"].alias("next"),
-        ).filter("parts > 1")
-        open_, _ = store(open_, "open")
-        left_over = open_.agg(F.sum("n")).first()[0]
-        if not left_over:
-            break
-        rest, _ = store(join_counted(apart, open_, "band", "n", left_over), "open-members")
-        if last < LEADER_ROUNDS:
-            own = rest.filter("set = next").select("band", F.col("root").alias("own"))
-            star = rest.join(own, "band").filter("root <> own")
-            pairs = star.select(F.least("set", "next").alias("a"), F.greatest("set", "next").alias("b"))
-        else:
-            untried = rest.filter("set <> leader")
-            outside = untried.filter("root <> main").select("band", F.col("set").alias("o"), F.col("root").alias("o_root"))
-            pairs = untried.join(outside, "band").filter("root <> o_root AND (root = main OR set < o)").select(
-                F.least("set", "o").alias("a"), F.greatest("set", "o").alias("b")
-            )
-        more = _links(pairs.distinct(), texts, size, threshold)
+    more = _leftover_links(held, roots, texts, size, round(100 * threshold))
+    if more is not None:
         links, _ = store(links.unionByName(more), "links")
         roots, _ = store(components(links, "a", "b"), "roots")
-    low = classes.join(roots.withColumnRenamed("node", "set"), "set", "left").select("set", "copies", "low", F.coalesce("root", "set").alias("root"))
+    low = classes.join(roots.withColumnRenamed("node", "nr"), "nr", "left").select("set", "copies", "low", F.coalesce("root", "nr").alias("root"))
     ends = low.groupBy("root").agg(F.min("low").alias("component"))
     by_class = low.join(ends, "root").select("set", "copies", "component")
     count = classes.agg(F.sum("copies")).first()[0] or 0

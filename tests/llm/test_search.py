@@ -80,15 +80,31 @@ def test_near_duplicates_equal_brute_force(spark, seed, size, threshold):
         assert got == smallest_reachable(range(len(texts)), links)
 
 
-def test_leftover_pairs_in_a_bucket_are_found(spark, monkeypatch):
-    """One band of one coordinate puts chains of similar texts into large buckets."""
-    monkeypatch.setattr(minhash, "LEADER_ROUNDS", 1)
-    words = [f"w{i}" for i in range(40)]
-    texts = [" ".join(words[i : i + 30]) for i in range(10)]  # neighbours are linked, distant ones aren't
+def test_leftover_pairs_in_a_bucket_are_found(spark):
+    """A chain of similar texts: neighbours are linked, but no member is linked with all."""
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words[8 * i : 8 * i + 200]) for i in range(20)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r["component"] for r in minhash.near_duplicates(docs, 3, 0.85).collect()} == {0}
 
 
+def test_group_of_near_copies_of_one_text(spark):
+    """Every copy has words of its own; which are linked, and through which, is up to their number."""
+    rng = random.Random(6)
+    base = [f"b{i}" for i in range(150)]
+    texts = []
+    for i in range(120):
+        copy = list(base)
+        for at in rng.sample(range(150), rng.randrange(0, 8)):
+            copy[at] = f"new{i}-{at}"
+        texts.append(" ".join(copy))
+    sets = [frozenset(shingle_set(t.encode(), 3, WordHashes()).tolist()) for t in texts]
+    links = [(i, j) for i in range(120) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["id"]: r["component"] for r in minhash.near_duplicates(docs, 3, 0.85).collect()}
+    assert got == smallest_reachable(range(120), links) and len(set(got.values())) > 1
+
+
 def test_near_duplicates_of_awkward_rows(awkward, nothing):
     rows = minhash.near_duplicates(awkward, 3, 0.85).collect()
     assert len(rows) == awkward.count()
