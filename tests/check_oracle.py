@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -75,6 +76,7 @@ def main() -> int:
     spark = build_session(
         "check", f"local[{os.environ.get('CHECK_CPUS', '8')}]", spark__sql__shuffle__partitions="8", spark__driver__memory="12g",
         spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="corpuslake-check-"),
     )
     spark.sparkContext.setLogLevel("OFF")
     con, bad = connect(sf_dir), 0

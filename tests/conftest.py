@@ -7,11 +7,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from corpuslake.session import build_session
 
     session = build_session(
-        "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g",
+        "tests", f"local[{os.environ.get('TEST_CPUS', '8')}]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
     )
     session.sparkContext.setLogLevel("OFF")
