@@ -41,19 +41,19 @@ def row_key(*columns: str) -> Column:
     return F.unhex(F.md5(F.concat(*parts)))
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Rows in runs of about ``SLICE_BYTES`` of text, with the texts as UTF-8 (null: empty)."""
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Rows in runs of about ``size`` bytes of text, with the texts as UTF-8 (null: empty)."""
     for batch in batches:
         column = batch.column(text).cast(pa.large_binary())
-        at, size, first = 0, 0, 0
+        at, held, first = 0, 0, 0
         lengths = [0 if n is None else n for n in pa.compute.binary_length(column).to_pylist()]
         while at < len(lengths):
-            size += lengths[at]
+            held += lengths[at]
             at += 1
-            if size >= SLICE_BYTES or at == len(lengths):
+            if held >= size or at == len(lengths):
                 part = batch.slice(first, at - first)
                 yield part, [t or b"" for t in column.slice(first, at - first).to_pylist()]
-                first, size = at, 0
+                first, held = at, 0
 
 
 def join_counted(left: DataFrame, right: DataFrame, key: str, n: str, total: int, share: float = 0.001) -> DataFrame:

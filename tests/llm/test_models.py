@@ -81,12 +81,12 @@ def test_probabilities_of_all_next_words_add_up_to_one(spark):
     for word in words:
         if word == lm.END:
             continue
-        both = lm.Words([b"the cat " + word], model.code, lm.WordHashes())
+        both = lm.Words([b"the cat " + word], lm.Lexicon(model.code))
         cost = np.zeros(len(both.tokens))
         for place, slots, bit in both.steps:
             cost[: len(bit)] += model.words.bits_cost(place, slots, bit)
         total += math.exp(cost[both.order.tolist().index(2)])
-    end = lm.Words([b"the cat"], model.code, lm.WordHashes())
+    end = lm.Words([b"the cat"], lm.Lexicon(model.code))
     cost = np.zeros(3)
     for place, slots, bit in end.steps:
         cost[: len(bit)] += model.words.bits_cost(place, slots, bit)
