@@ -651,6 +651,8 @@ SELECT * FROM (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM scored)
 WHERE rank <= {DEPTH}"""),
     "cosine_topk": _with(*DOCS, QUESTIONS, *VECTOR_BRANCH, select="SELECT query_id, rank, chunk_id, score FROM near"),
+    "vector_index_topk": _with(*DOCS, QUESTIONS, *VECTOR_BRANCH, select="""
+SELECT query_id, rank, chunk_id, score, md5(text) AS digest FROM near JOIN chunks USING (chunk_id)"""),
     "cosine_topk_lang": _with(
         *DOCS, QUESTIONS, QUESTION_VECTORS, CHUNKS, CHUNK_VECTORS, _cosine(DEPTH, "WHERE content_lang = 'de'"),
         select="SELECT query_id, rank, chunk_id, score FROM near"),

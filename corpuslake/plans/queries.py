@@ -676,6 +676,15 @@ def cosine_topk(spark, sf):
     return _ranked(vector.cosine_top_k(wanted, t.chunk_vectors(spark, sf), DEPTH), "chunk_id")
 
 
+def vector_index_topk(spark, sf):
+    """The nearest chunks to every question among vectors that were stored with their texts."""
+    wanted = encode.encode(t.questions(spark, sf), "question")
+    stored = t.stored_chunks(spark, sf)
+    return vector.with_payload(vector.cosine_top_k(wanted, stored, DEPTH), stored).select(
+        "query_id", F.col("rank").cast("long").alias("rank"), "chunk_id", "score", F.md5("text").alias("digest")
+    )
+
+
 def cosine_topk_lang(spark, sf):
     wanted = encode.encode(t.questions(spark, sf), "question")
     return _ranked(vector.cosine_top_k(wanted, t.chunk_vectors(spark, sf), DEPTH, lang="de"), "chunk_id")
@@ -700,10 +709,9 @@ def _branches(spark, sf) -> DataFrame:
 
 
 def _passages(spark, sf, **settings) -> DataFrame:
-    return fusion.hybrid_retrieve(
-        t.questions(spark, sf), t.lexical_docs(spark, sf), t.chunk_vectors(spark, sf),
-        RetrievalSettings(**settings), payload=t.chunks(spark, sf),
-    )
+    chosen = RetrievalSettings(**settings)
+    vectors = t.stored_chunks(spark, sf) if chosen.vector else t.chunk_vectors(spark, sf)
+    return fusion.hybrid_retrieve(t.questions(spark, sf), t.lexical_docs(spark, sf), vectors, chosen)
 
 
 def _shown(df: DataFrame) -> DataFrame:
@@ -891,7 +899,7 @@ QUERIES = {
         bus_messages, html_text, html_marks, text_source_cascade, lang_profiles, lang_detect, chunk_documents,
         lexical_query_rewrite, lexical_documents, term_stats, field_stats, bm25_topk, bm25_topk_lang,
         bm25_index_topk, lexical_branch, snippets, encoded_questions, centroid_topk, cosine_topk,
-        cosine_topk_lang, vector_dimensions, rrf_fusion, relevance_gate, hybrid_retrieve,
+        cosine_topk_lang, vector_index_topk, vector_dimensions, rrf_fusion, relevance_gate, hybrid_retrieve,
         vector_only_retrieve, lexical_only_retrieve, search_response, citations, prompt_assembly,
         sources_footer, answer_routing, case_scores, eval_summary, recall_report, recall_cases,
         last_user_message, answer_citations, stream_dedup, stream_upsert, stream_replay,

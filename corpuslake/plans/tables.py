@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuslake.functions import keys
 from corpuslake.operators import chunking, encode, lexical
-from corpuslake.session import spread
+from corpuslake.session import spread, written
 from corpuslake.settings import STATUSES
 
 BUCKET = "lake"
@@ -135,6 +135,11 @@ def chunk_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.encode(chunks(spark, sf_dir).select("chunk_id", "content_lang", "text")).drop("text")
 
 
+def stored_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks with vectors and texts, encoded once and stored; searches read what they need."""
+    return written(encode.encode(chunks(spark, sf_dir)), "chunks")
+
+
 def eval_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evaluation cases: questions paired with the labels of equal number."""
     labels = read(spark, sf_dir, "labels")

@@ -223,3 +223,12 @@ def test_blank_questions_are_rejected(spark):
     df = spark.createDataFrame([(1, " x "), (2, "  "), (3, None)], "query_id long, question string")
     good, bad = fusion.reject_blank(df)
     assert [r.question for r in good.collect()] == ["x"] and bad.count() == 2
+
+
+def test_a_search_needs_an_index_of_its_language(spark, tmp_path):
+    docs, _ = corpus(spark)
+    lexical.LexicalIndex.write(docs, str(tmp_path), lang="fr", buckets=2)
+    index = lexical.LexicalIndex.read(spark, str(tmp_path), "fr")
+    asked = spark.createDataFrame(QUERIES, "query_id long, question string")
+    with pytest.raises(ValueError):
+        fusion.hybrid_retrieve(asked, docs, None, RetrievalSettings(vector=False), index=index)
