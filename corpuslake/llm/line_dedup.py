@@ -21,7 +21,7 @@ def _windows(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
     """key, row key, position and 128-bit hash of every window that isn't blank."""
     lines = docs.select(
         F.col(key).alias("id"), row_key(key, text).alias("doc"),
-        F.transform(F.split(F.col(text), "\n", -1), F.trim).alias("lines"),
+        F.transform(F.split(F.col(text), "\n", -1), lambda line: F.trim(line)).alias("lines"),
     ).filter(F.size("lines") >= size)
     positions = F.sequence(F.lit(0), F.size("lines") - size)
 
