@@ -81,8 +81,9 @@ def _valid(kind: str, value: Column) -> Column:
 
 
 def _shape(value: Column) -> Column:
-    """The value with its letters as ``a`` and its digits as 9, runs of letters cut to one."""
-    return F.regexp_replace(F.regexp_replace(value, r"\p{L}++", "a"), "[0-9]", "9")
+    """The value with runs of letters and digits as ``a`` and 9; a number alone keeps its length."""
+    run = F.when(value.rlike("^[0-9]+$"), "[0-9]").otherwise("[0-9]++")
+    return F.regexp_replace(F.regexp_replace(value, F.lit(r"\p{L}++"), F.lit("a")), run, F.lit("9"))
 
 
 def _instances(rows: DataFrame) -> DataFrame:
