@@ -15,17 +15,12 @@ FOOTER_START = f"\n\n---\n**{SOURCES_MARK}**"
 RETRIEVE_ONLY_PREFIX = "(retrieve seul)\n"
 PROMPT_HEADING = "Extraits du corpus :\n\n"
 PROMPT_QUESTION = "\n\nQuestion : "
-REFUSAL = (
-    "Aucun passage pertinent n'a été trouvé dans le corpus pour répondre à cette "
-    "question, et rien ne sera inventé hors des articles indexés."
-)
-SYSTEM_PROMPT = (
-    "Réponds uniquement avec les extraits numérotés ci-dessous, dans la langue de la "
-    "question. Cite chaque extrait utilisé par son numéro, [1], [2]… Si les extraits ne "
-    "suffisent pas, dis-le ; n'invente ni adresse, ni date, ni citation. Sois bref."
-)
 # ------------------------------------------------------------------------------
 
+# Default wording, this project's own; prompts and refusals may be given instead.
+REFUSAL = "Aucun extrait de ce corpus ne permet de répondre."
+SYSTEM_PROMPT = "Réponds à la question à l'aide des extraits qui suivent et indique entre crochets le numéro de ceux qui servent."
+
 
 def _joined(block: Column, separator: str) -> Column:
     """Blocks of one query in passage order; a query has at most top-k of them."""

@@ -9,9 +9,15 @@ from corpuslake.functions import keys
 from corpuslake.operators.contracts import split_valid
 from corpuslake.settings import ENTRY_SOURCE, SCHEMA_VERSION
 
+# --- Fixed values: field names of the envelopes ---------------------------------
 ENTRY_FIELDS = (
     "title", "link", "id", "guid", "summary", "published", "updated", "author", "tags",
 )
+SILVER_FIELDS = (
+    "schema_version", "feed_id", "content_hash", "title", "canonical_url", "author", "published",
+    "parsed_at", "text", "text_source", "bronze_s3_uri", "feed_lang", "content_lang",
+)
+# ------------------------------------------------------------------------------
 KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
@@ -62,12 +68,6 @@ def bronze_json(entries: DataFrame, fetched_at: Column) -> Column:
     )
 
 
-SILVER_FIELDS = (
-    "schema_version", "feed_id", "content_hash", "title", "canonical_url", "author", "published",
-    "parsed_at", "text", "text_source", "bronze_s3_uri", "feed_lang", "content_lang",
-)
-
-
 def silver_json() -> Column:
     """Silver object of a silver row: nulls stay, only a null confidence is left out."""
     head = F.to_json(F.struct(*SILVER_FIELDS), KEEP_NULLS)

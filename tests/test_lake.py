@@ -199,15 +199,15 @@ def test_profiles_count_every_trigram(spark, profiles):
 
 
 def silver_file(root, name, doc, dt="2026-08-31"):
-    folder = root / "silver" / "source=france24" / f"dt={dt}"
+    folder = root / "silver" / "source=harbour" / f"dt={dt}"
     folder.mkdir(parents=True, exist_ok=True)
     (folder / f"{name}.json").write_text(doc if isinstance(doc, str) else json.dumps(doc, indent=2), encoding="utf-8")
 
 
 def test_gold_backfill(spark, tmp_path):
-    base = {"schema_version": 1, "feed_id": "france24", "title": None, "text": "contenu", "feed_lang": "fr"}
-    silver_file(tmp_path, "a", {**base, "content_hash": "fb78"})
-    silver_file(tmp_path, "b", {**base, "content_hash": "aa78", "dt": "2026-01-01"})
+    base = {"schema_version": 1, "feed_id": "harbour", "title": None, "text": "contenu", "feed_lang": "fr"}
+    silver_file(tmp_path, "a", {**base, "content_hash": "c0ffee"})
+    silver_file(tmp_path, "b", {**base, "content_hash": "b0a7", "dt": "2026-01-01"})
     silver_file(tmp_path, "blank", " \n")
     silver_file(tmp_path, "bad", "{oops")
     silver_file(tmp_path, "empty", {**base, "content_hash": "cc", "text": ""})
@@ -218,7 +218,7 @@ def test_gold_backfill(spark, tmp_path):
     assert gold.write_gold(gold.gold_rows(objects), out) == 2
     rows = {r.content_hash: r for r in gold.read_gold(spark, out).collect()}
     assert {h: (r.feed_id, r.dt) for h, r in rows.items()} == {
-        "fb78": ("france24", "2026-08-31"), "aa78": ("france24", "2026-01-01"),
+        "c0ffee": ("harbour", "2026-08-31"), "b0a7": ("harbour", "2026-01-01"),
     }
     # another day is added without touching the first ones
     silver_file(tmp_path / "later", "c", {**base, "content_hash": "ee"}, dt="2026-09-01")
@@ -239,7 +239,7 @@ def test_gold_feed_from_path_and_inference(spark, tmp_path):
     inferred = gold.infer_schema(objects)
     assert inferred.fieldNames() == ["content_hash", "text"]
     row = gold.gold_rows(objects, inferred).first()
-    assert (row.feed_id, row.dt) == ("france24", "2026-08-31")
+    assert (row.feed_id, row.dt) == ("harbour", "2026-08-31")
 
 
 def test_layer_writes_reject_invalid_objects(spark, tmp_path):
