@@ -51,9 +51,9 @@ def without_benchmark(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents to be read at least once, with their rate and copies."""
+    """Documents with a rate above zero, with that rate and the number of copies to read."""
     model = mixture.train(docs, table(spark, sf_dir, "labels"))
-    return mixture.mix(docs, model, mixture.TARGETS).filter("copies > 0").select(*docs.columns, "rate", "copies")
+    return mixture.mix(docs, model, mixture.TARGETS).filter("rate > 0").select(*docs.columns, "rate", "copies")
 
 
 STAGES = [
