@@ -109,10 +109,9 @@ def test_html_text(spark, markup, expected):
 
 def test_entities_agree_with_the_standard_library(spark):
     names = [n for n in html.entities.html5 if n.endswith(";")]
-    sample = " ".join(f"&{n}" for n in names) + " &#8364; &#x1F600; &#12; &#1114109; &#0; &#55296; &bogus; &# 5;"
-    got = values(spark, text.unescape(F.col("x")), [(sample,)])[0].replace(" ", "")
-    want = html.unescape(sample.replace("&#12;", "\f").replace("&#1114109;", chr(1114109))).replace(" ", "").replace(" ", "")
-    assert got == want
+    sample = "|".join(f"&{n}" for n in names) + "|&#8364;|&#x1F600;|&#12;|&#1114109;|&#0;|&#55296;|&bogus;|&#|5;"
+    got = values(spark, text.unescape(F.col("x")), [(sample,)])[0]
+    assert got == html.unescape(sample.replace("&#12;", "\f").replace("&#1114109;", chr(1114109)))
 
 
 def test_snippets(spark):
