@@ -75,7 +75,7 @@ def test_unigram_part_equals_brute_force(spark, sf):
 def test_probabilities_of_all_next_words_add_up_to_one(spark):
     """Over all coded words and the escape, after a given context; and over all bytes of a spelling."""
     docs = spark.createDataFrame([(i, "the cat sat on the mat and the dog sat on the cat " * (1 + i % 3)) for i in range(20)], "id long, text string")
-    model = lm.train(docs, lm.vocabulary(docs.select("text")))
+    model, _ = lm.train(docs, lm.vocabulary(docs.select("text")))
     words = [*model.code.index, b"unseen"]
     total = 0.0
     for word in words:
@@ -101,9 +101,9 @@ def test_probabilities_of_all_next_words_add_up_to_one(spark):
 def test_counts_are_added_up_in_levels(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"word{i % 7} and word{i % 5}") for i in range(60)], "id long, text string")
     counted = lm.vocabulary(docs.select("text"))
-    one = lm.train(docs.coalesce(1), counted)
+    one, _ = lm.train(docs.coalesce(1), counted)
     monkeypatch.setattr(lm, "FAN_IN", 2)
-    many = lm.train(docs.repartition(9), counted)
+    many, _ = lm.train(docs.repartition(9), counted)
     assert all((a == b).all() for a, b in zip(one.words.stretch, many.words.stretch, strict=True))
 
 
