@@ -210,6 +210,40 @@ def test_passages_of_fifty_words_are_found(spark):
         assert min(len(a), len(b)) >= 50
 
 
+@pytest.mark.parametrize("size", [50, 55, 60, 65, 70])
+def test_one_edit_at_any_place_is_verified(size):
+    fresh = iter(range(10**6))
+
+    def tokens(passage):
+        words = [next(fresh) for _ in range(60)] + passage + [next(fresh) for _ in range(60)]
+        return passages.shingles(passages.mixed(np.array(words, np.uint64)), passages.SHINGLE)
+
+    for place in range(size):
+        passage = [next(fresh) for _ in range(size)]
+        other = [*passage[:place], next(fresh), *passage[place + place % 2 :]]  # in turns changed and inserted
+        a, b = tokens(passage), tokens(other)
+        one, two = (passages.windows_of([x], passages.MIN_TOKENS)[0] for x in (a, b))
+        found = passages.verified(a, b, passages.joined(one, two), passages.MIN_TOKENS, 0.8)
+        x, y = a[60 : 56 + size], b[60 : 56 + len(other)]
+        p, q = set(x.tolist()), set(y.tolist())
+        assert 100 * len(p & q) >= 80 * len(p | q)
+        agreeing = sum(x[passages.hashed_by(x, f).argmin()] == y[passages.hashed_by(y, f).argmin()] for f in range(passages.FUNCTIONS))
+        assert found or agreeing < passages.AGREE, place
+        for begin, end, low, high, similarity in found:
+            x, y = set(a[begin : end + 1].tolist()), set(b[low : high + 1].tolist())
+            assert similarity == len(x & y) / len(x | y) >= 0.8 and min(end - begin, high - low) + 1 >= passages.MIN_TOKENS
+
+
+def test_repeated_passages_are_all_joined():
+    rng = np.random.default_rng(4)
+    passage, fresh = rng.integers(0, 2**63, 60, dtype=np.uint64), lambda n: rng.integers(0, 2**63, n, dtype=np.uint64)
+    a = np.concatenate([fresh(70), passage, fresh(70), passage, fresh(70)])
+    b = np.concatenate([fresh(50), passage, fresh(90), passage, fresh(50)])
+    one, two = (passages.windows_of([x], passages.MIN_TOKENS)[0] for x in (a, b))
+    found = passages.verified(a, b, passages.joined(one, two), passages.MIN_TOKENS, 0.8)
+    assert len({(f[0], f[2]) for f in found}) == 4
+
+
 def test_passages_of_awkward_rows(awkward, nothing):
     found = passages.repeated_passages(awkward).collect()
     assert {r["id"] for r in found} | {r["other_id"] for r in found} == {50, 51, None}
