@@ -244,6 +244,17 @@ def test_repeated_passages_are_all_joined():
     assert len({(f[0], f[2]) for f in found}) == 4
 
 
+def test_functions_agree_at_the_threshold():
+    rng = np.random.default_rng(6)
+    missed = 0
+    for _ in range(1_000):  # 80 common of 100
+        x = rng.integers(0, 2**63, 100, dtype=np.uint64)
+        a, b = x[:90], x[10:]
+        agreeing = sum(a[passages.hashed_by(a, f).argmin()] == b[passages.hashed_by(b, f).argmin()] for f in range(passages.FUNCTIONS))
+        missed += agreeing < passages.AGREE
+    assert missed <= 15
+
+
 def test_passages_of_awkward_rows(awkward, nothing):
     found = passages.repeated_passages(awkward).collect()
     assert {r["id"] for r in found} | {r["other_id"] for r in found} == {50, 51, None}
