@@ -255,6 +255,38 @@ def test_functions_agree_at_the_threshold():
     assert missed <= 15
 
 
+def test_passages_that_the_representatives_lack_are_found(spark):
+    """Two copies of a passage, and variants of it (0.75 and less) and its lines in documents of any number."""
+    rng = random.Random(12)
+    fresh = iter(range(10**6))
+    rows, wanted = [], []
+
+    def add(middle):
+        body = [f"u{next(fresh)}" for _ in range(60)]
+        rows.append((len(rows), " ".join(body[:30] + middle + body[30:])))
+        return rows[-1][0]
+
+    for case in range(40):
+        passage = [f"p{case}x{i}" for i in range(60)]
+        variants = []
+        for place in (12, 25, 38, 50):
+            variants.append([*passage[:place], f"v{next(fresh)}", *passage[place + 1 : place + 5], f"v{next(fresh)}", *passage[place + 6 :]])
+        lines = [passage[i : i + 20] for i in (0, 20, 40)]
+        places = [add(passage), *[add(v) for v in variants if case % 2], *[add(x) for x in lines for _ in range(3)], add(passage)]
+        wanted.append((places[0], places[-1]))
+    rng.shuffle(rows)
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    words = {i: t.split() for i, t in rows}
+    linked = {i for r in found for i, o, w in ((r["id"], r["other_id"], r["begin"]), (r["other_id"], r["id"], r["other_begin"])) if i != o}
+    assert {i for pair in wanted for i in pair} <= linked
+    for r in found:
+        a, b = words[r["id"]][r["begin"] : r["end"]], words[r["other_id"]][r["other_begin"] : r["other_end"]]
+        x, y = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a, b))
+        assert len(x & y) / len(x | y) == pytest.approx(r["similarity"]) and r["similarity"] >= 0.8
+        assert min(len(a), len(b)) >= 50
+    assert len({(r["id"], r["other_id"], r["begin"], r["other_begin"]) for r in found}) == len(found)
+
+
 def test_passages_of_awkward_rows(awkward, nothing):
     found = passages.repeated_passages(awkward).collect()
     assert {r["id"] for r in found} | {r["other_id"] for r in found} == {50, 51, None}
