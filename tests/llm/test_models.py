@@ -98,6 +98,29 @@ def test_probabilities_of_all_next_words_add_up_to_one(spark):
     assert first == pytest.approx(1, abs=1e-4)
 
 
+def test_the_previous_two_words_decide(spark):
+    """The second next word follows from the word before the last only, whose end all share."""
+    names = [f"{a}{b}xx" for a in "bcdfghkl" for b in "aeiou"]
+    texts = [" ".join(f"{names[(i * 7 + j * j) % 40]} then {names[(i * 7 + j * j + 13) % 40]}." for j in range(40)) for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = lm.score_texts(docs).filter("held_out").collect()
+    # Of three words one, the first, is free: log2(40) bits.
+    size = np.mean([len(t) / 120 for t in texts])
+    assert np.mean([r["bits_per_byte"] for r in rows]) < 0.6 * math.log2(40) / size
+
+
+def test_texts_that_weights_are_learned_on(spark, monkeypatch):
+    learned = []
+    learn = lm.Mixer.learn
+    monkeypatch.setattr(lm.Mixer, "learn", lambda self, steps: (learned.append(sum(len(bit) for _, _, bit in steps())), learn(self, steps, 1))[1])
+    monkeypatch.setattr(lm, "RUN_BYTES", 2_000)
+    docs = spark.createDataFrame([(i, f"a b {i % 3}") for i in range(900)] + [(i, f"a b {i}") for i in range(900, 1200)], "id long, text string")
+    model, _ = lm.train(docs, lm.vocabulary(docs.select("text")))
+    texts = sorted(r["text"] for r in docs.collect())
+    least = min(sum(len(bit) for _, _, bit in lm.Words([t.encode()], lm.Lexicon(model.code)).steps) for t in texts)
+    assert learned[0] >= 1_000 * least
+
+
 def test_counts_are_added_up_in_levels(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"word{i % 7} and word{i % 5}") for i in range(60)], "id long, text string")
     counted = lm.vocabulary(docs.select("text"))
