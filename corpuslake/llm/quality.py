@@ -35,7 +35,10 @@ _POWERS = np.random.default_rng(7).integers(1, 2**63, size=64, dtype=np.uint64)
 
 
 def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Feature rows of all passages and the first row of each text; an empty text has one row of zeros."""
+    """Feature rows of all passages and the first row of each text; an empty text has one row of zeros.
+
+    A row depends on its own text only, whatever other texts are encoded with it.
+    """
     lengths = np.array([len(t) for t in texts], np.int64)
     counts = np.maximum(1, -(-lengths // PASSAGE))
     first = np.concatenate([[0], np.cumsum(counts)[:-1]])
@@ -47,11 +50,13 @@ def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     inside = np.arange(len(data)) - np.repeat(begin, lengths)
     passage = np.repeat(first, lengths) + inside // PASSAGE
     rows = len(out)
-    size = np.maximum(1, np.bincount(passage, minlength=rows))[:, None]
+    filled = np.bincount(passage, minlength=rows)
+    size = np.maximum(1, filled)[:, None]
     classes = _CLASSES[data]
     out[:, :N_CLASSES] = np.bincount(passage * N_CLASSES + classes, minlength=rows * N_CLASSES).reshape(rows, -1) / size
     pair = (data[:-1].astype(np.uint32) * 31 + data[1:].astype(np.uint32) * 2654435) % PAIRS
-    out[:, N_CLASSES + 5 :] = np.bincount(passage[:-1] * PAIRS + pair, minlength=rows * PAIRS).reshape(rows, -1) / size
+    own = inside[1:] > 0  # both bytes of the pair are of one text
+    out[:, N_CLASSES + 5 :] = np.bincount(passage[:-1][own] * PAIRS + pair[own], minlength=rows * PAIRS).reshape(rows, -1) / size
     blank = (classes == 3) | (classes == 4) | (inside == 0) & (classes == 10)
     starts = np.flatnonzero(~blank & ((inside == 0) | np.concatenate([[True], blank[:-1]])))
     if len(starts):
@@ -70,7 +75,7 @@ def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         same = (words[1:] == words[:-1]) & (of[1:] == of[:-1])
         out[:, N_CLASSES + 2] = np.bincount(of[1:][same], minlength=rows) / n
         out[:, N_CLASSES + 3] = np.bincount(of, long > 15, minlength=rows) / n
-    out[:, N_CLASSES + 4] = np.minimum(1, size[:, 0] / PASSAGE)
+    out[:, N_CLASSES + 4] = filled / PASSAGE
     return out, first
 
 
@@ -97,7 +102,9 @@ class Attention:
         return x, t, g, weight, counts, z, 1 / (1 + np.exp(-logit))
 
     def score(self, x: np.ndarray, first: np.ndarray) -> np.ndarray:
-        return self.forward(x, first)[-1].astype(np.float64)
+        """One text at a time: products over more rows may be rounded otherwise, and a score is to follow from its text."""
+        alone, ends = np.zeros(1, np.int64), np.append(first[1:], len(x))
+        return np.array([self.forward(x[a:b], alone)[-1][0] for a, b in zip(first, ends, strict=True)], np.float64)
 
     def fit(self, bags: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 5) -> Attention:
         """Log loss with a small weight decay; with no bags every score is a half, with one label its share."""

@@ -36,11 +36,31 @@ def test_quality_of_awkward_rows(spark, awkward, nothing):
         assert out.columns == [*[c for c in awkward.columns if c != "score"], "score"]
         rows = out.collect()
         assert len(rows) == awkward.count() and all(0 <= r["score"] <= 1 for r in rows)
-        empty = {round(r["score"], 9) for r in rows if not r["text"]}
-        assert len(empty) == 1
+        assert len({r["score"] for r in rows if not r["text"]}) == 1
     assert quality.score_quality(nothing, model).count() == 0
 
 
+def test_quality_follows_from_the_text_alone(spark, sf):
+    """Scores and model are equal bit by bit, however the rows are dealt."""
+    docs, labels = table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "labels")
+    found, models = [], []
+    for many in (1, 97):
+        dealt = docs.repartition(many, "doc_id")
+        models.append(quality.train(dealt, labels))
+        found.append({r["doc_id"]: r["score"] for r in quality.score_quality(dealt, models[0]).collect()})
+    assert found[0] == found[1]
+    assert all((models[0].p[k] == models[1].p[k]).all() for k in models[0].p)
+
+
+def test_passages_are_encoded_without_their_neighbours():
+    texts = [b"ab cd", b"", b" x" * 900, b"\x01q", "é".encode() * 700, b"", b"zz zz"]
+    x, first = quality.encode(texts)
+    ends = [*first[1:], len(x)]
+    for text, a, b in zip(texts, first, ends, strict=True):
+        assert (quality.encode([text])[0] == x[a:b]).all()
+    assert not x[first[1]].any() and not quality.encode([b""])[0].any()
+
+
 def test_attention_gradient_descends():
     rng = np.random.default_rng(1)
     bags = [rng.normal(size=(rng.integers(1, 6), quality.FEATURES)).astype(np.float32) for _ in range(200)]
