@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpuslake.llm import decontaminate, exact_dedup, line_dedup, lm, minhash, mixture, passages, pii, quality, urls
+from corpuslake.llm import clusters, decontaminate, exact_dedup, language, line_dedup, lm, minhash, mixture, negatives, passages, pii, quality, urls
 
 QUERIES = {
     "op1_minhash_dedup": minhash.op1_minhash_dedup,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_url_filter": urls.op8_url_filter,
     "op9_mixture": mixture.op9_mixture,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_language_id": language.op11_language_id,
+    "op12_hard_negatives": negatives.op12_hard_negatives,
+    "op13_centroids": clusters.op13_centroids,
 }
 
 #: The others are tested against brute force or by held-out accuracy.
@@ -24,4 +27,6 @@ ORACLE = {
     "op4_line_dedup": line_dedup.ORACLE,
     "op8_url_filter": urls.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
+    "op12_hard_negatives": negatives.ORACLE,
+    "op13_centroids": clusters.ORACLE,
 }
