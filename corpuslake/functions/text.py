@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corpuslake.functions.keys import blank_to_null, strip
+from corpuslake.functions.stems import ELIDED, STEMMERS
 from corpuslake.settings import LAKE_NAME, RARE_TERM_CHARS, SNIPPET_CHARS
 
 # --- Fixed values: word lists, token and HTML patterns -------------------------
@@ -27,6 +28,7 @@ QUESTION_STOP_WORDS = frozenset(
 ) | {LAKE_NAME}
 QUESTION_TOKEN = r"[0-9A-Za-zÀ-ÿ_-]+"
 WORD_TOKEN = r"[\p{L}\p{N}]+"
+POSSESSIVE = r"['’][sS]($|[^\p{L}\p{N}])"
 # Stop words of the per-language analysis (the usual English and French lists).
 ANALYSIS_STOP_WORDS = {
     "en": tuple(
@@ -52,11 +54,9 @@ ANALYSIS_STOP_WORDS = {
         """.split()
     ),
 }
-# Elements whose content is never article text.
-DROPPED_ELEMENTS = (
-    "script", "style", "noscript", "template", "head", "nav", "header", "footer",
-    "aside", "form", "table", "iframe", "svg", "button",
-)
+# Elements whose content is never article text; the second kind may hold elements of its own name.
+RAW_ELEMENTS = ("script", "style", "noscript", "template", "head")
+DROPPED_ELEMENTS = ("nav", "header", "footer", "aside", "form", "table", "iframe", "svg", "button")
 # Classes of block elements that hold advertising, comments or navigation.
 DROPPED_CLASSES = ("ad", "ads", "advert", "comment", "comments", "sidebar", "share", "related")
 BLOCK_ELEMENTS = (
@@ -64,6 +64,8 @@ BLOCK_ELEMENTS = (
     "figcaption", "figure", "h1", "h2", "h3", "h4", "h5", "h6", "hr", "html", "li",
     "main", "ol", "p", "pre", "section", "ul",
 )
+# A shorter block of which at least this share is link text leads elsewhere.
+LINK_BLOCK_CHARS, LINK_SHARE = 100, 0.8
 # ------------------------------------------------------------------------------
 
 
@@ -98,15 +100,56 @@ def term_counts(tokens: Column) -> Column:
     return F.when(F.size(tokens) > 0, bind(F.sort_array(tokens), runs))
 
 
+def kept_words(col: Column, lang: str | None = None) -> Column:
+    """Tokens without the stop words of ``lang``, possessive endings and elided words."""
+    if lang == "en":
+        col = F.regexp_replace(col, POSSESSIVE, "$1")
+    tokens = words(col)
+    stop = ANALYSIS_STOP_WORDS.get(lang or "", ()) + (ELIDED if lang == "fr" else ())
+    return F.filter(tokens, lambda t: ~t.isin(*stop)) if stop else tokens
+
+
 def analyzed(
     col: Column, lang: str | None = None, stemmer: Callable[[Column], Column] | None = None
 ) -> Column:
-    """Tokens of the analysis used for ``lang``; ``stemmer`` maps one token column."""
-    tokens = words(col)
-    stop = ANALYSIS_STOP_WORDS.get(lang or "")
-    if stop:
-        tokens = F.filter(tokens, lambda t: ~t.isin(*stop))
-    return F.transform(tokens, stemmer) if stemmer else tokens
+    """Tokens of the analysis used for ``lang``: stop words dropped, then stemmed.
+
+    English and French have stemmers of their own; ``stemmer``, which maps one token
+    column, takes their place.
+    """
+    stem = stemmer or STEMMERS.get(lang or "")
+    tokens = kept_words(col, lang)
+    return F.transform(tokens, stem) if stem else tokens
+
+
+def analyzed_counts(
+    col: Column, lang: str | None = None, stemmer: Callable[[Column], Column] | None = None
+) -> Column:
+    """``struct<dl, terms>`` of a text: number of its tokens, and the analysed ones with counts.
+
+    Only distinct words are stemmed; the counts of words with one stem are then added up.
+    """
+    stem = stemmer or STEMMERS.get(lang or "")
+
+    def merged(sorted_: Column) -> Column:
+        term = lambda i: F.get(sorted_, i)["term"]
+        starts = F.filter(F.sequence(F.lit(0), F.size(sorted_) - 1), lambda i: (i == 0) | (term(i) != term(i - 1)))
+        return bind(starts, lambda at: F.transform(at, lambda p, j: F.struct(
+            term(p).alias("term"),
+            F.aggregate(
+                F.slice(sorted_, p + 1, F.coalesce(F.get(at, j + 1), F.size(sorted_)) - p),
+                F.lit(0).cast("long"), lambda total, entry: total + entry["tf"],
+            ).alias("tf"),
+        )))
+
+    def counted(tokens: Column) -> Column:
+        terms = term_counts(tokens)
+        if stem:
+            named = F.transform(terms, lambda e: F.struct(stem(e["term"]).alias("term"), e["tf"].alias("tf")))
+            terms = F.when(F.size(tokens) > 0, bind(F.sort_array(named), merged))
+        return F.struct(F.size(tokens).alias("dl"), terms.alias("terms"))
+
+    return bind(kept_words(col, lang), counted)
 
 
 def lexical_terms(question: Column) -> Column:
@@ -147,11 +190,15 @@ def _elements(names) -> str:
 
 _CLASS = "(?:" + "|".join(DROPPED_CLASSES) + ")"
 # One of the classes as a whole word of the attribute, in double, single or no quotes.
-_CLASSED = (
+CLASSED_TAG = (
     r'<div\b[^>]*\bclass\s*=\s*(?:"(?:[^"]*\s)?' + _CLASS + r'(?:\s[^"]*)?"[^>]*'
-    + r"|'(?:[^']*\s)?" + _CLASS + r"(?:\s[^']*)?'[^>]*|" + _CLASS + r"(?:\s[^>]*)?)>.*?</div\s*>"
+    + r"|'(?:[^']*\s)?" + _CLASS + r"(?:\s[^']*)?'[^>]*|" + _CLASS + r"(?:\s[^>]*)?)>"
 )
-DROPPED = r"(?is)<!--.*?-->|" + _elements(DROPPED_ELEMENTS) + "|" + _CLASSED
+#: Comments, and elements whose content is no markup, so that their first end tag ends them.
+RAW = r"(?is)<!--.*?-->|" + _elements(RAW_ELEMENTS)
+# Where a tag begins that opens or closes an element that may be dropped.
+_NESTING_TAG = r"(?i)(?=</?(?:" + "|".join((*DROPPED_ELEMENTS, "div")) + r")\b)"
+_LINK, _LINK_END = "\u0001", "\u0002"
 BLOCK_TAG = r"(?i)</?(?:" + "|".join(BLOCK_ELEMENTS) + r")\b[^>]*>"
 ANY_TAG = r"</?[A-Za-z!][^>]*>"
 ARTICLE = r"(?is)<article\b[^>]*>(.*)</article\s*>"
@@ -196,11 +243,66 @@ def unescape(col: Column) -> Column:
     return F.when(col.contains("&"), bind(F.split(col, "&"), joined)).otherwise(col)
 
 
+def _without_dropped(body: Column) -> Column:
+    """Markup without the dropped elements, whatever they hold, also elements of their own name.
+
+    The markup is cut before every tag that matters. One scan over the pieces counts how
+    deep it is inside the dropped element it is in; that one ends where its own end tag
+    brings the count to zero. An element that never ends is kept.
+    """
+    tag = "struct<name string, opens int, drops boolean>"
+    state = "struct<name string, depth int, since int, at int, cuts array<struct<a int, b int>>>"
+
+    def read(piece: Column) -> Column:
+        name = F.lower(F.regexp_extract(piece, "^</?([A-Za-z]+)", 1))
+        opening = F.regexp_extract(piece, "^<[A-Za-z][^>]*>", 0)
+        opens = F.when(piece.startswith("</"), -1).when((opening == "") | opening.endswith("/>"), 0).otherwise(1)
+        drops = (opens == 1) & F.when(name == "div", opening.rlike("(?i)^" + CLASSED_TAG)).otherwise(name.isin(*DROPPED_ELEMENTS))
+        return F.struct(name.alias("name"), opens.alias("opens"), drops.alias("drops")).cast(tag)
+
+    def scan(s: Column, t: Column) -> Column:
+        same = (s["depth"] > 0) & (t["name"] == s["name"])
+        enters = (s["depth"] == 0) & t["drops"]
+        depth = F.when(enters, 1).when(same, s["depth"] + t["opens"]).otherwise(s["depth"])
+        ends = same & (s["depth"] + t["opens"] == 0)
+        cut = F.struct(s["since"].alias("a"), s["at"].alias("b"))
+        return F.struct(
+            F.when(enters, t["name"]).otherwise(s["name"]).alias("name"), depth.alias("depth"),
+            F.when(enters, s["at"]).otherwise(s["since"]).alias("since"), (s["at"] + 1).alias("at"),
+            F.when(ends, F.array_append(s["cuts"], cut)).otherwise(s["cuts"]).alias("cuts"),
+        ).cast(state)
+
+    def kept(pieces: Column) -> Column:
+        start = F.struct(
+            F.lit("").alias("name"), F.lit(0).alias("depth"), F.lit(0).alias("since"), F.lit(0).alias("at"),
+            F.array().cast("array<struct<a int, b int>>").alias("cuts"),
+        ).cast(state)
+        cuts = F.aggregate(F.transform(pieces, read), start, scan, lambda s: s["cuts"])
+
+        def between(c: Column) -> Column:
+            starts, ends = F.array_prepend(c["b"], F.lit(0)), F.array_append(c["a"], F.size(pieces))
+            return F.array_join(
+                F.zip_with(starts, ends, lambda a, b: F.array_join(F.slice(pieces, a + 1, b - a), "")), ""
+            )
+
+        return bind(cuts, between)
+
+    return bind(F.split(body, _NESTING_TAG), kept)
+
+
+def _leads_elsewhere(line: Column) -> Column:
+    """Whether a block is short and hardly more than links, whose ends are marked."""
+    whole = F.length(F.translate(line, _LINK + _LINK_END, ""))
+    plain = F.length(F.translate(F.regexp_replace(line, f"{_LINK}[^{_LINK_END}]*({_LINK_END}|$)", ""), _LINK_END, ""))
+    return line.contains(_LINK) & (whole < LINK_BLOCK_CHARS) & (whole - plain >= LINK_SHARE * whole)
+
+
 def html_text(html: Column) -> Column:
     """Main text of a page or fragment, one distinct line per block; null if blank.
 
-    Comments, tables, scripts, navigation and advertising are dropped, the article
-    element is preferred when there is one, and repeated lines are kept once.
+    Comments, tables, scripts, navigation and advertising are dropped with all they hold,
+    the article element is preferred when there is one, short blocks that are hardly more
+    than links go, and repeated lines are kept once.
     """
 
     def main_part(body: Column) -> Column:
@@ -208,11 +310,13 @@ def html_text(html: Column) -> Column:
             F.regexp_extract(body, ARTICLE, 1), lambda a: F.when(a != "", a).otherwise(body)
         )
 
-    body = bind(F.regexp_replace(html, DROPPED, ""), main_part)
-    plain = F.regexp_replace(F.regexp_replace(body, BLOCK_TAG, "\n"), ANY_TAG, "")
+    raw = F.regexp_replace(F.translate(html, _LINK + _LINK_END, ""), RAW, "")
+    body = bind(_without_dropped(raw), main_part)
+    linked = F.regexp_replace(F.regexp_replace(body, r"(?i)<a\b[^>]*>", _LINK), r"(?i)</a\s*>", _LINK_END)
+    plain = F.regexp_replace(F.regexp_replace(linked, BLOCK_TAG, "\n"), ANY_TAG, "")
+    told = F.filter(F.split(plain, "\n"), lambda line: ~_leads_elsewhere(line))
     lines = F.transform(
-        F.split(unescape(plain), "\n"),
-        lambda line: F.trim(F.regexp_replace(line, "[\\s\u00a0]+", " ")),
+        told, lambda line: F.trim(F.regexp_replace(unescape(F.translate(line, _LINK + _LINK_END, "")), "[\\s\u00a0]+", " ")),
     )
     kept = F.array_distinct(F.filter(lines, lambda line: line != ""))
     return blank_to_null(F.array_join(kept, "\n"))

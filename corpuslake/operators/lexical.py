@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuslake.functions.keys import first_filled
-from corpuslake.functions.text import analyzed, lexical_query, snippet, term_counts, words
+from corpuslake.functions.text import analyzed, analyzed_counts, lexical_query, snippet, words
 from corpuslake.operators.best import TaskBest
 from corpuslake.session import written
 from corpuslake.settings import (
@@ -74,14 +74,12 @@ def field_terms(fields: DataFrame, lang: str | None = None, stemmer=None) -> Dat
     analysis = lang if lang in ANALYZED_LANGS else None
     arrays = F.array(
         *[
-            F.struct(F.lit(f).alias("field"), analyzed(F.col(f), analysis, stemmer).alias("tokens"))
+            F.struct(F.lit(f).alias("field"), analyzed_counts(F.col(f), analysis, stemmer).alias("counts"))
             for f in FIELDS
         ]
     )
-    tokens = fields.select("content_hash", F.inline(arrays)).filter(F.size("tokens") > 0)
-    return tokens.select(
-        "content_hash", "field", F.size("tokens").alias("dl"), term_counts(F.col("tokens")).alias("terms")
-    )
+    counted = fields.select("content_hash", F.inline(arrays))
+    return counted.select("content_hash", "field", "counts.dl", "counts.terms").filter(F.col("dl") > 0)
 
 
 def postings(terms: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from corpuslake.functions import contracts as rules
-from corpuslake.functions import text
+from corpuslake.functions import stems, text
 from corpuslake.operators import answers
 from corpuslake.settings import EMBEDDING_DIMS, LAKE_NAME
 
@@ -152,6 +152,95 @@ rewritten AS (
   FROM kept)"""
 
 
+def _ending_cases(endings, then) -> str:
+    """CASE over a word w: the first of the endings it has decides; ``then(ending, new, stem)`` is the result."""
+    return "CASE " + " ".join(f"WHEN ends_with(w, '{e}') THEN {then(e, new, f'w[:-{len(e) + 1}]')}" for e, new in endings) + " ELSE w END"
+
+
+def _longest(endings):
+    return sorted(endings, key=lambda r: -len(r[0]))
+
+
+def _english_stems() -> tuple[str, ...]:
+    """Porter's steps, one table of words after the other."""
+    has = lambda of, pattern: f"regexp_matches({of}, '{pattern}')"
+    replaced = lambda pattern: lambda e, new, stem: f"CASE WHEN {has(stem, pattern)} THEN {stem} || '{new}' ELSE w END"
+    mended = f"""CASE WHEN regexp_matches(s, '(at|bl|iz)$') THEN s || 'e' WHEN {has('s', stems.DOUBLED_END)} THEN s[:-2]
+      WHEN {has('s', stems.SHORT_END)} THEN s || 'e' ELSE s END"""
+    ion = f"CASE WHEN {has('w[:-4]', stems.MANY)} AND regexp_matches(w[:-4], '[st]$') THEN w[:-4] ELSE w END"
+    steps = (
+        "CASE WHEN regexp_matches(w, '(ss|i)es$') THEN w[:-3] WHEN ends_with(w, 'ss') THEN w WHEN ends_with(w, 's') THEN w[:-2] ELSE w END",
+        None,
+        f"CASE WHEN ends_with(w, 'y') AND {has('w[:-2]', stems.HAS_VOWEL)} THEN w[:-2] || 'i' ELSE w END",
+        _ending_cases(_longest(stems.PORTER_2), replaced(stems.SOME)),
+        _ending_cases(_longest(stems.PORTER_3), replaced(stems.SOME)),
+        f"CASE WHEN ends_with(w, 'ion') THEN {ion} ELSE {_ending_cases(_longest([(e, '') for e in stems.PORTER_4]), replaced(stems.MANY))} END",
+        f"""CASE WHEN ends_with(w, 'e') AND ({has('w[:-2]', stems.MANY)} OR {has('w[:-2]', stems.ONE)} AND NOT {has('w[:-2]', stems.SHORT_END)})
+          THEN w[:-2] ELSE w END""",
+        f"CASE WHEN ends_with(w, 'll') AND {has('w', stems.MANY)} THEN w[:-2] ELSE w END",
+    )
+    out = ["stem_0 AS (SELECT DISTINCT term AS word, regexp_replace(term, '^y', 'Y') AS w FROM heard WHERE length(term) > 2)"]
+    for i, step in enumerate(steps):
+        if step is None:
+            out.append(f"""stem_{i + 1} AS (
+  SELECT word, CASE WHEN ends_with(w, 'eed') THEN CASE WHEN {has('w[:-4]', stems.SOME)} THEN w[:-2] ELSE w END
+    WHEN cut = 0 OR NOT {has('s', stems.HAS_VOWEL)} THEN w ELSE {mended} END AS w
+  FROM (SELECT *, w[:-(cut + 1)] AS s FROM (
+    SELECT *, CASE WHEN ends_with(w, 'ed') THEN 2 WHEN ends_with(w, 'ing') THEN 3 ELSE 0 END AS cut FROM stem_{i})))""")
+        else:
+            out.append(f"stem_{i + 1} AS (SELECT word, {step} AS w FROM stem_{i})")
+    return (*out, f"stemmed AS (SELECT word, translate(w, 'Y', 'y') AS stem FROM stem_{len(steps)})")
+
+
+def _french_stems() -> tuple[str, ...]:
+    doubled = f"translate(w, '{stems.FRENCH_ACCENTS[0]}', '{stems.FRENCH_ACCENTS[1]}')"
+    for letter in "abcdefghijklmnopqrstuvwxyz":
+        doubled = f"replace({doubled}, '{letter * 2}', '{letter}')"
+    endings = " ".join(f"WHEN ends_with(w, '{e}') AND length(w) >= {least} THEN w[:-{cut + 1}] || '{new}'" for e, least, cut, new in stems.FRENCH_ENDINGS)
+    steps = (
+        """CASE WHEN length(w) > 5 AND ends_with(w, 'aux') AND NOT ends_with(w, 'eaux') THEN w[:-3] || 'l'
+          WHEN length(w) > 3 AND right(w, 1) IN ('x', 's') THEN w[:-2] ELSE w END""",
+        f"CASE {endings} ELSE w END",
+        f"CASE WHEN length(w) > 4 THEN {doubled} ELSE w END",
+        f"CASE WHEN length(w) > 4 THEN regexp_replace(w, '{stems.FRENCH_FINALS}', '\\1') ELSE w END",
+    )
+    out = ["stem_0 AS (SELECT DISTINCT term AS word, term AS w FROM heard)"]
+    out += [f"stem_{i + 1} AS (SELECT word, {step} AS w FROM stem_{i})" for i, step in enumerate(steps)]
+    return (*out, f"stemmed AS (SELECT word, w AS stem FROM stem_{len(steps)})")
+
+
+def _bm25_lang(lang: str) -> str:
+    """The best of the articles in ``lang`` by its analysis, as one subquery."""
+    stop = text.ANALYSIS_STOP_WORDS[lang] + (stems.ELIDED if lang == "fr" else ())
+    body = (lambda c: f"regexp_replace({c}, '{text.POSSESSIVE.replace(chr(39), chr(39) * 2)}', '\\1', 'g')") if lang == "en" else (lambda c: c)
+    heard = f"""
+heard AS (
+  SELECT * FROM (
+    SELECT content_hash, 'title' AS field, unnest({_words(body('title'))}) AS term FROM silver WHERE content_lang = '{lang}'
+    UNION ALL SELECT content_hash, 'text', unnest({_words(body('text'))}) FROM silver WHERE content_lang = '{lang}'
+    UNION ALL SELECT 'q' || query_id, 'question', unnest({_words(body('question'))}) FROM questions)
+  WHERE term NOT IN ({', '.join(repr(w) for w in stop)})),"""
+    chain = ",\n".join((_english_stems if lang == "en" else _french_stems)())
+    return f"""
+  WITH {heard}
+{chain},
+  tokens AS (SELECT content_hash, field, coalesce(stem, term) AS term FROM heard LEFT JOIN stemmed ON word = term),
+  lengths AS (SELECT content_hash, field, count(*) AS dl FROM tokens WHERE field <> 'question' GROUP BY ALL),
+  fstats AS (SELECT field, count(*) AS n_docs, avg(dl) AS avg_dl FROM lengths GROUP BY field),
+  tf AS (SELECT content_hash, field, term, count(*) AS tf FROM tokens WHERE field <> 'question' GROUP BY ALL),
+  tstats AS (SELECT field, term, count(*) AS df FROM tf GROUP BY ALL),
+  qterms AS (SELECT DISTINCT content_hash[2:]::BIGINT AS query_id, term FROM tokens WHERE field = 'question'),
+  parts AS (
+    SELECT query_id, content_hash, field,
+      ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * tf / (tf + 1.2 * (1 - 0.75 + 0.75 * dl / avg_dl)) AS w
+    FROM qterms JOIN tf USING (term) JOIN tstats USING (field, term) JOIN fstats USING (field) JOIN lengths USING (content_hash, field)),
+  scored AS (
+    SELECT query_id, content_hash, round(greatest(2 * sum(w) FILTER (field = 'title'), sum(w) FILTER (field = 'text')), 6) AS score
+    FROM parts GROUP BY ALL)
+  SELECT '{lang}' AS lang, query_id, content_hash, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, content_hash) AS rank
+  FROM scored QUALIFY rank <= {DEPTH}"""
+
+
 def _bm25(question: str, source: str, docs: str, k: int, stop: tuple[str, ...] = ()) -> str:
     """BM25 over title and text, best field with the title doubled."""
     drop = f"WHERE term NOT IN ({', '.join(repr(w) for w in stop)})" if stop else ""
@@ -289,7 +378,8 @@ mutated AS (
       AS errs
   FROM keyed k LEFT JOIN labels USING (doc_id))"""
 
-DROPPED = text.DROPPED.replace("'", "''")
+# In the given pages no dropped element holds one of its own name.
+DROPPED = (text.RAW + "".join(rf"|<{n}\b[^>]*>.*?</{n}\s*>" for n in text.DROPPED_ELEMENTS) + "|" + text.CLASSED_TAG + r".*?</div\s*>").replace("'", "''")
 BLOCK = text.BLOCK_TAG.replace("'", "''")
 
 
@@ -589,6 +679,13 @@ WITH lines AS (
   FROM (SELECT doc_id, 'kept &OUML; öß×•° éé' || chr(1114109) || chr(65533) || ' &lt;' || chr(10) || regexp_replace(text, '[^\\p{L}\\n]+', ' ', 'g') AS t FROM documents)
 ), once AS (
   SELECT doc_id, trim(line) AS line, min(i) AS i FROM lines WHERE trim(line) <> '' GROUP BY 1, 2)
+SELECT doc_id, md5(string_agg(line, chr(10) ORDER BY i)) AS digest FROM once GROUP BY doc_id""",
+    "html_nested": """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i
+  FROM (SELECT doc_id, 'kept' || chr(10) || 'also kept' || chr(10) || regexp_replace(text, '[^\\p{L}\\n]+', ' ', 'g') || chr(10) || 'see all of it here' || CASE WHEN doc_id % 3 = 0 THEN chr(10) || 'open' ELSE '' END AS t FROM documents)
+), once AS (
+  SELECT doc_id, trim(line) AS line, min(i) AS i FROM lines WHERE trim(line) <> '' GROUP BY 1, 2)
 SELECT doc_id, md5(string_agg(line, chr(10) ORDER BY i)) AS digest FROM once GROUP BY doc_id""",
     "html_text": _with(_html("pages", "page_id", "html", "html_"), select="SELECT k AS page_id, text FROM html_"),
     "text_source_cascade": _with(*CASCADE, select="""
@@ -629,10 +726,9 @@ FROM silver"""),
 SELECT field, n_docs, round(avg_dl, 6) AS avg_dl, n_tokens FROM fstats"""),
     "bm25_topk": _with(*DOCS, QUESTIONS, _bm25("question", "questions", "silver", DEPTH), select="""
 SELECT query_id, rank, content_hash, score FROM found"""),
-    "bm25_topk_lang": _with(
-        *DOCS, QUESTIONS, "french AS (SELECT * FROM silver WHERE content_lang = 'fr')",
-        _bm25("question", "questions", "french", DEPTH, text.ANALYSIS_STOP_WORDS["fr"]),
-        select="SELECT query_id, rank, content_hash, score FROM found"),
+    "bm25_topk_lang": _with(*DOCS, QUESTIONS, select=f"""
+SELECT query_id, lang, rank, content_hash, score FROM ({_bm25_lang("fr")}) UNION ALL
+SELECT query_id, lang, rank, content_hash, score FROM ({_bm25_lang("en")})"""),
     "lexical_branch": _with(*DOCS, *LEXICAL_BRANCH, select="""
 SELECT query_id, rank, content_hash, score, feed_id, title, content_lang, snippet FROM hits"""),
     "snippets": _with(_html("pages", "page_id", "html", "html_"), select=r"""

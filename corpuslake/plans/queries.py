@@ -29,7 +29,7 @@ from corpuslake.plans import stages
 from corpuslake.plans import tables as t
 from corpuslake.schemas import struct
 from corpuslake.session import shared_folder, spread
-from corpuslake.settings import EMBEDDING_DIMS, TOP_K_DEFAULT, RetrievalSettings
+from corpuslake.settings import ANALYZED_LANGS, EMBEDDING_DIMS, TOP_K_DEFAULT, RetrievalSettings
 from corpuslake.sources import bus, feeds, lake
 from corpuslake.sources import tables as stores
 from corpuslake.streaming import ingest as streams
@@ -493,6 +493,24 @@ def html_marks(spark, sf):
     return t.text_table(spark, sf).select("doc_id", F.md5(text.html_text(html)).alias("digest"))
 
 
+def html_nested(spark, sf):
+    """Documents among dropped elements that hold others of their name, as deep as the id says."""
+    deep = (F.col("doc_id") % 7 + 1).cast("int")
+    inner = F.concat(
+        F.repeat(F.lit('<div class="share"><DIV>'), deep), F.lit("x"), F.repeat(F.lit("</div>LEFT</DIV>"), deep),
+        F.lit("<table><tr><td>"), F.repeat(F.lit("<table><tr><td>a</td></tr>"), deep), F.repeat(F.lit("</table>CELL"), deep), F.lit("</table>"),
+    )
+    drop = F.concat(F.lit('<div class="ad">ad<div>y</div>LEFT<nav>n</nav>'), inner, F.lit("</div><aside>a<aside/><aside>b</aside>LEFT</aside>"))
+    body = F.regexp_replace(F.regexp_replace("text", r"[^\p{L}\n]+", " "), r"\n+", "</p><p>")
+    links = '<ul><li><a href="/a">One</a></li><li>- <A href=/b>Two <b>words</b></a></li></ul><p>see <a href="/c">all</a> of it here</p>'
+    html = F.concat(
+        F.lit("<body>"), F.when(F.col("doc_id") % 3 != 0, F.lit("<article>")).otherwise(""), drop,
+        F.lit('<div class="wrap"><div>kept</div>'), inner, F.lit("also kept</div><p>"), body, F.lit("</p>" + links),
+        F.when(F.col("doc_id") % 3 != 0, F.lit("</article><p>beside</p>")).otherwise(F.lit("<form>open")),
+    )
+    return t.text_table(spark, sf).select("doc_id", F.md5(text.html_text(html)).alias("digest"))
+
+
 def _cascade_entries(spark, sf) -> DataFrame:
     """Entries that link to the page of equal number; only English ones have a summary."""
     d = t.text_table(spark, sf)
@@ -622,9 +640,12 @@ def bm25_topk(spark, sf):
 
 
 def bm25_topk_lang(spark, sf):
-    """The same within French articles, with French analysis."""
-    found = lexical.search(t.questions(spark, sf), t.lexical_docs(spark, sf), DEPTH, lang="fr")
-    return _ranked(found, "content_hash")
+    """The same within French and within English articles, each with its stop words and stems."""
+    asked, docs = t.questions(spark, sf), t.lexical_docs(spark, sf)
+    found = [
+        lexical.search(asked, docs, DEPTH, lang=lang).withColumn("lang", F.lit(lang)) for lang in ANALYZED_LANGS
+    ]
+    return found[0].unionByName(found[1]).select("query_id", "lang", F.col("rank").cast("long").alias("rank"), "content_hash", "score")
 
 
 def bm25_index_topk(spark, sf):
@@ -896,7 +917,7 @@ QUERIES = {
         insert_if_absent, latest_versions, chunk_replacement, worker_stats, ops_status, gauges_long,
         contract_violations, contract_error_counts, contract_audit, lake_audit, audit_sample,
         gold_projection, gold_partition_counts, gold_write_read, event_rows, event_error_counts,
-        bus_messages, html_text, html_marks, text_source_cascade, lang_profiles, lang_detect, chunk_documents,
+        bus_messages, html_text, html_marks, html_nested, text_source_cascade, lang_profiles, lang_detect, chunk_documents,
         lexical_query_rewrite, lexical_documents, term_stats, field_stats, bm25_topk, bm25_topk_lang,
         bm25_index_topk, lexical_branch, snippets, encoded_questions, centroid_topk, cosine_topk,
         cosine_topk_lang, vector_index_topk, vector_dimensions, rrf_fusion, relevance_gate, hybrid_retrieve,

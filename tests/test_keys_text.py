@@ -101,6 +101,20 @@ def test_analysis_drops_stop_words_of_its_language(spark):
         ("<p>&eacute;t&#233; &#x2014; &amp;lt; &quot;q&quot;&nbsp;&#160;fin</p>", 'été — &lt; "q" fin'),
         ("plain text only", "plain text only"),
         ("<div class=\"ad\">pub</div><p>x</p>", "x"),
+        ('<div class="ad">x<div>y</div>LEFT</div><p>a</p>', "a"),
+        ("<table><tr><td><table><tr><td>t</td></tr></table>CELL</td></tr></table>a", "a"),
+        ("<NAV>m<nav>n<nav/></Nav>o</nav>a<header>h</header><heading>b</heading>", "ab"),
+        ('<div><div class="wide ad">x</div>a<div class="adverb">b</div></div>c</div>d', "a\nb\nc\nd"),
+        ("<p>a</p><form><p>b</p><table>t</table>", "a\nb\nt"),
+        ("<nav>m<table>t</nav>a</table>b", "ab"),
+        ("</nav></div>a<svg/>b<svg><svg></svg>c</svg>d", "ab\nd".replace("\n", "")),
+        ("<template><nav></template>a<script>'<table>'</script>b", "ab"),
+        ("<ul><li><a href='/x'>One</a></li><li><a>Two</a> words and more of them</li></ul>", "Two words and more of them"),
+        ("<p><a>" + "long " * 30 + "</a></p>", ("long " * 30).strip()),
+        ("<p>see <a>all &amp; more</a> of it</p>\u0001\u0002", "see all & more of it"),
+        ("<p><a>open link", None),
+        ("<div>" * 300 + '<div class="ads">' + "<div>" * 300 + "x" + "</div>" * 300 + "y</div>kept" + "</div>" * 300, "kept"),
+        ("<div class=share>" * 40 + "x" + "</div>" * 40 + "<b>kept</b>", "kept"),
     ],
 )
 def test_html_text(spark, markup, expected):
