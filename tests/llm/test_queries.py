@@ -86,5 +86,22 @@ def test_stages_of_empty_and_repeated_rows(spark, sf, awkward):
     assert sorted(r["doc_id"] for r in near.collect()) == [0, 1, 2, 3, 4, 5, 6, 50, 52, 53]
 
 
+def test_stages_leave_columns_with_their_own_names_alone(spark, sf):
+    """Columns named like the operators' results keep their values, as do odd types and a missing n_chars."""
+    docs = table(spark, sf, "documents").drop("n_chars").selectExpr(
+        "*", "-1 AS score", "'n' AS n", "2 AS rows", "'w' AS n_words", "array(doc_id) AS leaks", "'i' AS leak_items", "3 AS n_lines",
+        "4 AS n_removed", "'p' AS posterior", "5 AS n_tokens", "'r' AS rate", "named_struct('a.b', doc_id) AS `a.b`", "6 AS component", "7 AS id", "'d' AS doc",
+    )
+    own = {r["doc_id"]: r for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES:
+        after = stage(spark, docs, sf)
+        last = name == corpus_pipeline.STAGES[-1][0]
+        assert after.columns == [*[c for c in docs.columns if not last or c != "rate"], *(["rate", "copies"] if last else [])], name
+        rows = after.collect()
+        assert rows
+        for r in rows:
+            assert all(r[c] == own[r["doc_id"]][c] for c in docs.columns if c != "text" and not (last and c == "rate")), name
+
+
 def test_pipeline_runs(spark, sf, kept):
     assert entry.queries()["pipeline"](spark, sf).count() == kept[-1][2].count()
