@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corpuslake.session import shared_folder
 
-__all__ = ["discard", "row_key", "slices", "store", "table"]
+__all__ = ["discard", "join_counted", "join_many", "row_key", "slices", "store", "table"]
 
 # Texts are worked on in slices of about so many bytes, whatever the size of an Arrow batch.
 SLICE_BYTES = 4_000_000
@@ -67,3 +67,13 @@ def join_counted(left: DataFrame, right: DataFrame, key: str, n: str, total: int
     few = F.broadcast(right.filter(hot))
     rest = left.join(few.select(key), key, "left_anti").join(right.filter(~hot), key)
     return left.join(few, key).unionByName(rest)
+
+
+def join_many(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Inner join to ``right``, whose ``key`` is unique, by one plan for tables of all sizes.
+
+    Both sides are sorted by key. A key with very many rows on the left makes a large
+    partition, which the adaptive plan cuts into pieces that each meet the one row on the
+    right. The result should be stored or shuffled by another key, not grouped by this one.
+    """
+    return left.join(right.hint("merge"), key)

@@ -23,15 +23,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslake.llm.common import join_counted, row_key, slices, store, table
+from corpuslake.llm.common import join_many, row_key, slices, store, table
 from corpuslake.llm.components import components
 from corpuslake.llm.words import WordHashes, mixed, shingle_set, similar
 
 COORDINATES = 128
 #: Coordinates in a band. At similarity 0.85 a pair shares no band with probability 6e-11, at 0.8 with 5e-8.
 BAND = 4
-#: Members of a block, and columns of an incidence matrix, in the comparison of what is left over.
-GROUP_BLOCK, COLUMNS = 1_000, 4_096
+#: Members and shingles of a block, and columns of an incidence matrix, in the comparison of what is left over.
+GROUP_BLOCK, GROUP_SHINGLES, COLUMNS = 1_000, 2_000_000, 4_096
 
 
 def sketches(sets: list[np.ndarray], coordinates: int = COORDINATES) -> np.ndarray:
@@ -150,35 +150,37 @@ def _leftover_links(held: DataFrame, roots: DataFrame, texts: DataFrame, size: i
     One of two such members is outside the bucket's largest component. A member of whose
     shingles too few occur in any other text is certain not to be linked. The others are
     compared on their full sets, group by group, a group being all that meet one largest
-    component; a group is dealt out in pairs of blocks of ``GROUP_BLOCK`` members, and of the
-    links of a member to a component one is passed on.
+    component; a group is dealt out in pairs of blocks, whose size is bounded in members and
+    in shingles, and of the links of a member to a component one is passed on.
     """
 
-    def parts(members: DataFrame, stored: str) -> tuple[DataFrame, int]:
+    def parts(members: DataFrame, stored: str) -> DataFrame | None:
         """Members of the buckets with several components, with the largest one's root."""
         sizes = members.groupBy("band", "root").agg(F.count("*").alias("n"))
         several = sizes.groupBy("band").agg(
             F.count("*").alias("roots"), F.sum("n").alias("members"), F.max(F.struct("n", "root"))["root"].alias("main")
         ).filter("roots > 1").drop("roots")
         several, _ = store(several, "open-buckets")
-        total = several.agg(F.sum("members")).first()[0] or 0
-        return store(join_counted(members, several, "band", "members", total), stored)[0], total
+        return None if several.isEmpty() else store(join_many(members, several, "band"), stored)[0]
 
     rooted = held.filter("n > 2").drop("n").join(roots.withColumnRenamed("node", "nr"), "nr", "left").withColumn("root", F.coalesce("root", "nr"))
-    apart, total = parts(rooted, "open-members")
-    if not total:
+    rooted, _ = store(rooted, "rooted-members")
+    apart = parts(rooted, "open-members")
+    if apart is None:
         return None
     shared = _shared(texts.join(apart.select("nr").distinct(), "nr", "left_semi"), size)
-    able = shared.filter(100 * F.col("shared") >= percent * F.col("n")).select("nr")
-    rest, total = parts(apart.drop("main", "members").join(able, "nr", "left_semi").filter("nr <> leader"), "leftover-members")
-    if not total:
+    able, _ = store(shared.filter(100 * F.col("shared") >= percent * F.col("n")).select("nr", F.col("n").alias("size")), "sharing-members")
+    able_members, _ = store(apart.drop("main", "members").join(able.select("nr"), "nr", "left_semi").filter("nr <> leader"), "sharing-members")
+    rest = parts(able_members, "leftover-members")
+    if rest is None:
         return None
-    met, _ = store(rest.select("main", "nr", "root").distinct(), "leftover-groups")
+    met, _ = store(rest.select("main", "nr", "root").distinct().join(able, "nr"), "leftover-groups")
     outside = (F.col("root") != F.col("main"))
+    many = lambda n, shingles: F.greatest(F.ceil(n / GROUP_BLOCK), F.ceil(shingles / GROUP_SHINGLES))
     blocks = met.groupBy("main").agg(
-        F.count("*").alias("n"), F.ceil(F.count("*") / GROUP_BLOCK).alias("m_blocks"), F.ceil(F.count_if(outside) / GROUP_BLOCK).alias("o_blocks")
+        many(F.count("*"), F.sum("size")).alias("m_blocks"), many(F.count_if(outside), F.sum(F.when(outside, F.col("size")).otherwise(0))).alias("o_blocks")
     )
-    dealt = join_counted(met, blocks, "main", "n", met.count())
+    dealt, _ = store(join_many(met, blocks, "main"), "dealt-members")
     own = lambda n: F.pmod(F.xxhash64("nr"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
     sides = dealt.select("main", "nr", "root", F.lit(False).alias("out"), own("m_blocks").alias("m"), every("o_blocks").alias("o")).unionByName(
@@ -186,16 +188,22 @@ def _leftover_links(held: DataFrame, roots: DataFrame, texts: DataFrame, size: i
     )
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        known = WordHashes()
         o, m = pdf[pdf["out"]], pdf[~pdf["out"]]
-        sets = [[shingle_set((t or "").encode(), size, known) for t in side["text"]] for side in (o, m)]
+        sets = [[np.frombuffer(s, np.uint64) for s in side["shingles"]] for side in (o, m)]
         if not len(o) or not len(m):
             return pd.DataFrame({"a": [], "b": []})
         at, to = _block_links(*sets, percent)
         found = pd.DataFrame({"a": o["nr"].to_numpy()[at], "b": m["nr"].to_numpy()[to], "x": o["root"].to_numpy()[at], "y": m["root"].to_numpy()[to]})
         return found[found["x"] != found["y"]].drop_duplicates(["a", "y"])[["a", "b"]]
 
-    return sides.join(texts.select("nr", "text"), "nr").groupBy("main", "o", "m").applyInPandas(compare, "a bigint, b bigint")
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for part, bodies in slices(batches):
+            yield pa.RecordBatch.from_arrays([part.column("nr"), pa.array([shingle_set(t, size, known).tobytes() for t in bodies], pa.binary())], ["nr", "shingles"])
+
+    wanted = texts.join(met.select("nr").distinct(), "nr", "left_semi").select("nr", "text")
+    sets_of, _ = store(wanted.mapInArrow(measured, "nr bigint, shingles binary"), "leftover-sets")
+    return sides.join(sets_of, "nr").groupBy("main", "o", "m").applyInPandas(compare, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -215,20 +223,19 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, key:
     rows = docs.select(row_key(key, text).alias("doc"), F.col(key).alias("id"), F.col(text).alias("text"))
     sketched, _ = store(_sketched(rows, size), "sketches")
     filled = sketched.filter("n > 0")
-    grouped = filled.groupBy("set").agg(F.count("*").alias("copies"), F.min("id").alias("low"), F.min("doc").alias("doc"), F.max("n").alias("n"))
+    grouped = filled.groupBy("set").agg(F.min("id").alias("low"), F.min("doc").alias("doc"), F.max("n").alias("n"))
     classes, _ = store(grouped.withColumn("nr", F.monotonically_increasing_id()), "classes")
-    members = (
+    members, _ = store(
         filled.select("doc", "set", "bands").join(classes.select("nr", "doc", "set"), ["doc", "set"]).dropDuplicates(["nr"])
-        .select("nr", F.explode("bands").alias("band"))
+        .select("nr", F.explode("bands").alias("band")), "members"
     )
-    buckets, _ = store(members.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
-    total = buckets.agg(F.sum("n")).first()[0] or 0
-    met, _ = store(join_counted(members, buckets, "band", "n", total), "bucket-members")
-    met_by = met.groupBy("nr").agg(F.sum("n").alias("met"))
+    buckets = members.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    met, _ = store(join_many(members, buckets, "band"), "bucket-members")
+    met_by, _ = store(met.groupBy("nr").agg(F.sum("n").alias("met")), "met")
     leaders, _ = store(
-        met.join(met_by, "nr").groupBy("band").agg(F.count("*").alias("members"), F.max(F.struct("met", "nr"))["nr"].alias("leader")), "leaders"
+        met.join(met_by.hint("merge"), "nr").groupBy("band").agg(F.max(F.struct("met", "nr"))["nr"].alias("leader")), "leaders"
     )
-    held, _ = store(join_counted(met, leaders, "band", "members", total).drop("members"), "led-members")
+    held, _ = store(join_many(met, leaders, "band"), "led-members")
     texts, _ = store(
         rows.join(classes.join(met_by, "nr", "left_semi").select("nr", "n", "doc"), "doc").select("nr", "n", "text").dropDuplicates(["nr"]), "class-texts"
     )
@@ -239,11 +246,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, key:
     if more is not None:
         links, _ = store(links.unionByName(more), "links")
         roots, _ = store(components(links, "a", "b"), "roots")
-    low = classes.join(roots.withColumnRenamed("node", "nr"), "nr", "left").select("set", "copies", "low", F.coalesce("root", "nr").alias("root"))
+    low = classes.join(roots.withColumnRenamed("node", "nr"), "nr", "left").select("set", "low", F.coalesce("root", "nr").alias("root"))
+    low, _ = store(low, "class-roots")
     ends = low.groupBy("root").agg(F.min("low").alias("component"))
-    by_class = low.join(ends, "root").select("set", "copies", "component")
-    count = classes.agg(F.sum("copies")).first()[0] or 0
-    linked = join_counted(filled.select("doc", "id", "n", "set"), by_class, "set", "copies", count)
+    by_class, _ = store(join_many(low, ends, "root").select("set", "component"), "class-components")
+    linked = join_many(filled.select("doc", "id", "n", "set"), by_class, "set")
     alone = sketched.filter("n = 0").select("doc", "id", "n", F.col("id").alias("component"))
     return linked.select("doc", "id", "n", "component").unionByName(alone)
 

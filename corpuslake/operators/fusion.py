@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslake.functions.keys import blank_to_null
-from corpuslake.operators import encode, lexical, vector
+from corpuslake.operators import encode, lexical, lexical_index, vector
 from corpuslake.settings import (
     LABEL_TITLE_CHARS,
     PASSAGE_KEY_CHARS,
@@ -120,7 +120,7 @@ def hybrid_retrieve(
     chunk_vectors: DataFrame,
     settings: RetrievalSettings | None = None,
     encoder: encode.EncoderFactory | None = None,
-    index: lexical.LexicalIndex | None = None,
+    index: lexical_index.LexicalIndex | None = None,
     payload: DataFrame | None = None,
 ) -> DataFrame:
     """Passages for a batch of ``(query_id, question)``, best first.
@@ -137,7 +137,7 @@ def hybrid_retrieve(
     if settings.lexical:
         depth = settings.per_engine
         ranked = (
-            lexical.search_index(questions, index, depth, rewrite=True)
+            lexical_index.search_index(questions, index, depth, rewrite=True)
             if index is not None
             else lexical.search(questions, documents, depth, settings.lang, rewrite=True)
         )

@@ -29,7 +29,7 @@ from corpuslake.settings import (
 )
 
 FIELDS = ("title", "text")
-# A term no analysis yields; its one entry per document and field carries the length.
+# A term no analysis yields; in a stored index its entries carry the lengths.
 MARKER = ""
 # Sizes of the blocks whose term weights are multiplied.
 DOCS_PER_PRODUCT, QUERIES_PER_PRODUCT = 256, 256
@@ -99,73 +99,6 @@ def field_stats(terms: DataFrame) -> DataFrame:
     )
 
 
-def marker_entry() -> Column:
-    return F.array(F.struct(F.lit(MARKER).alias("term"), F.lit(1).cast("long").alias("tf")))
-
-
-def term_bucket(term: Column, buckets: Column) -> Column:
-    return F.pmod(F.xxhash64(term), buckets).cast("int")
-
-
-@dataclass(frozen=True)
-class LexicalIndex:
-    """The tables a search needs; build them once and keep them as partitioned files.
-
-    ``postings`` is stored by ``term_bucket``, so a search for few terms reads their
-    buckets only.
-    """
-
-    postings: DataFrame
-    term_stats: DataFrame
-    field_stats: DataFrame
-    lang: str | None = None
-
-    @classmethod
-    def build(cls, documents: DataFrame, lang: str | None = None, stemmer=None) -> LexicalIndex:
-        terms = field_terms(search_fields(documents, lang), lang, stemmer)
-        entries = postings(terms)
-        return cls(entries, term_stats(entries), field_stats(terms), lang)
-
-    @classmethod
-    def write(
-        cls, documents: DataFrame, path: str, lang: str | None = None, stemmer=None, buckets: int = 256
-    ) -> None:
-        """Build and store the tables in one pass over the documents.
-
-        Files are rebalanced by size, so a frequent term is split over several. The
-        statistics are then taken from the stored postings; the marker term, one row
-        per document and field, yields the lengths without grouping by document.
-        """
-        spark = documents.sparkSession
-        bucket = term_bucket(F.col("term"), F.lit(buckets))
-        terms = field_terms(search_fields(documents, lang), lang, stemmer)
-        (
-            postings(terms.withColumn("terms", F.concat(marker_entry(), "terms")))
-            .withColumn("term_bucket", bucket)
-            .hint("rebalance", "term_bucket")
-            .sortWithinPartitions("term_bucket", "term", "content_hash")
-            .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/postings")
-        )
-        stored = spark.read.parquet(f"{path}/postings")
-        (
-            term_stats(stored.filter(F.col("term") != MARKER)).withColumn("term_bucket", bucket)
-            .hint("rebalance", "term_bucket")
-            .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/term_stats")
-        )
-        marked = stored.filter(
-            (F.col("term") == MARKER) & (F.col("term_bucket") == term_bucket(F.lit(MARKER), F.lit(buckets)))
-        )
-        field_stats(marked).withColumn("n_buckets", F.lit(buckets)).write.mode("overwrite").parquet(
-            f"{path}/field_stats"
-        )
-
-    @classmethod
-    def read(cls, spark, path: str, lang: str | None = None) -> LexicalIndex:
-        load = lambda name: spark.read.parquet(f"{path}/{name}")
-        entries = load("postings").filter(F.col("term") != MARKER)
-        return cls(entries, load("term_stats"), load("field_stats"), lang)
-
-
 def query_terms(
     questions: DataFrame,
     rewrite: bool = True,
@@ -186,7 +119,7 @@ MATCHED = "content_hash string, title_dl bigint, text_dl bigint, slots array<int
 
 
 @dataclass(frozen=True)
-class _Batch:
+class QueryBatch:
     """Queries with their terms: a term's place, and per query the places of its terms."""
 
     terms: list[str]
@@ -194,7 +127,7 @@ class _Batch:
     places: list[np.ndarray]
 
     @classmethod
-    def of(cls, pairs: list) -> _Batch:
+    def of(cls, pairs: list) -> QueryBatch:
         terms = sorted({p["term"] for p in pairs})
         place = {t: i for i, t in enumerate(terms)}
         by_query: dict = {}
@@ -203,7 +136,7 @@ class _Batch:
         return cls(terms, list(by_query), [np.array(v, np.int64) for v in by_query.values()])
 
 
-def _matched(fields: DataFrame, batch: _Batch) -> DataFrame:
+def _matched(fields: DataFrame, batch: QueryBatch) -> DataFrame:
     """One row per document: field lengths, and the wanted terms it holds, by slot.
 
     A slot is a term's place, plus the number of terms for the text field. The fields
@@ -260,7 +193,64 @@ def _statistics(matched: DataFrame, n_terms: int) -> tuple[np.ndarray, list, lis
     return frequencies, [lengths[0], lengths[2]], [lengths[1], lengths[3]]
 
 
-def _best_documents(matched: DataFrame, batch: _Batch, statistics: tuple, k: int, id_type: T.DataType) -> DataFrame:
+class Scorer:
+    """Scores of blocks of documents for a batch of queries, and the best ``k`` documents of each.
+
+    ``statistics`` are the document frequency of every slot (a term's place, plus the
+    number of terms for the text field) and each field's documents and mean length. Only
+    the queries marked in ``chosen`` are answered.
+    """
+
+    def __init__(self, asked: QueryBatch, statistics: tuple, k: int, chosen: np.ndarray | None = None):
+        frequencies, n_docs, self.avg_dl = statistics
+        self.n, self.blocks = len(asked.terms), []
+        for at in range(0, len(asked.queries), QUERIES_PER_PRODUCT):
+            some = slice(at, at + QUERIES_PER_PRODUCT)
+            own = None if chosen is None else chosen[some]
+            if own is not None and not own.any():
+                continue
+            places = asked.places[some]
+            used = np.unique(np.concatenate(places))
+            column = np.full(self.n, -1)
+            column[used] = np.arange(len(used))
+            holds = np.zeros((len(used), len(places)))
+            for q, terms in enumerate(places):
+                holds[column[terms], q] = 1
+            self.blocks.append((column, holds, own, TaskBest(asked.queries[some], k)))
+        self.idf = np.concatenate([
+            np.log1p((d - f + 0.5) / (f + 0.5)) for d, f in zip(n_docs, np.split(frequencies, 2), strict=True)
+        ]) if self.n else np.zeros(0)
+
+    def scores(self, n_rows: int, row: np.ndarray, slots: np.ndarray, tf: np.ndarray, dl: np.ndarray) -> Iterator[tuple]:
+        """Per block of queries, its best rows so far and the scores of ``n_rows`` rows; entries have a row, slot, count and length."""
+        is_text = slots >= self.n
+        length = dl / np.where(is_text, self.avg_dl[1] or 1, self.avg_dl[0] or 1)
+        weight = self.idf[slots] * tf / (tf + BM25_K1 * (1 - BM25_B + BM25_B * length))
+        for column, holds, own, best in self.blocks:
+            score = np.zeros((n_rows, holds.shape[1]))
+            for picked, boost in ((~is_text, TITLE_BOOST), (is_text, 1.0)):
+                where = column[slots[picked] % self.n] if self.n else slots[picked]
+                inside = where >= 0
+                weights = np.zeros((n_rows, len(holds)))
+                weights[row[picked][inside], where[inside]] = weight[picked][inside]
+                score = np.maximum(score, boost * (weights @ holds))
+            yield best, score if own is None else np.where(own, score, 0)
+
+    def add(self, row: np.ndarray, slots: np.ndarray, tf: np.ndarray, dl: np.ndarray, keys: pa.Array) -> None:
+        for best, score in self.scores(len(keys), row, slots, tf, dl):
+            best.add(np.where(score > 0, np.round(score, SCORE_DIGITS), -np.inf), keys)
+
+    def batch(self, id_type: T.DataType) -> pa.RecordBatch:
+        """What was kept, as (query_id, content_hash, score)."""
+        found = [r for *_, best in self.blocks for r in best.rows()]
+        ids, keys, scores = zip(*found, strict=True) if found else ((), (), ())
+        kind = pa.string() if id_type == T.StringType() else pa.int64()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids, kind), pa.array(keys, pa.string()), pa.array(scores, pa.float64())], ["query_id", "content_hash", "score"]
+        )
+
+
+def _best_documents(matched: DataFrame, batch: QueryBatch, statistics: tuple, k: int, id_type: T.DataType) -> DataFrame:
     """Each task's own best ``k`` documents per query.
 
     A block of documents is a matrix of term weights; its product with the terms of a
@@ -271,50 +261,19 @@ def _best_documents(matched: DataFrame, batch: _Batch, statistics: tuple, k: int
         T.StructField("query_id", id_type), T.StructField("content_hash", T.StringType()), T.StructField("score", T.DoubleType())
     ])
     shared = matched.sparkSession.sparkContext.broadcast((batch, statistics))
-    id_arrow = pa.string() if id_type == T.StringType() else pa.int64()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked, (frequencies, n_docs, avg_dl) = shared.value
-        n = len(asked.terms)
-        blocks = []
-        for at in range(0, len(asked.queries), QUERIES_PER_PRODUCT):
-            places = asked.places[at : at + QUERIES_PER_PRODUCT]
-            used = np.unique(np.concatenate(places))
-            column = np.full(n, -1)
-            column[used] = np.arange(len(used))
-            holds = np.zeros((len(used), len(places)))
-            for q, own in enumerate(places):
-                holds[column[own], q] = 1
-            blocks.append((column, holds, TaskBest(asked.queries[at : at + QUERIES_PER_PRODUCT], k)))
-        idf = np.concatenate([
-            np.log1p((d - f + 0.5) / (f + 0.5)) for d, f in zip(n_docs, np.split(frequencies, 2), strict=True)
-        ]) if n else np.zeros(0)
+        asked, known = shared.value
+        scorer, n = Scorer(asked, known, k), len(asked.terms)
         for part in batches:
             for start in range(0, part.num_rows, DOCS_PER_PRODUCT):
                 some = part.slice(start, DOCS_PER_PRODUCT)
                 slots = some.column("slots").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 tf = some.column("tfs").flatten().to_numpy(zero_copy_only=False)
                 row = np.repeat(np.arange(some.num_rows), pc.list_value_length(some.column("slots")).to_numpy(zero_copy_only=False))
-                is_text = slots >= n
                 dl = [np.nan_to_num(some.column(f"{f}_dl").cast(pa.float64()).to_numpy(zero_copy_only=False)) for f in FIELDS]
-                length = np.where(is_text, dl[1][row] / (avg_dl[1] or 1), dl[0][row] / (avg_dl[0] or 1))
-                weight = idf[slots] * tf / (tf + BM25_K1 * (1 - BM25_B + BM25_B * length))
-                for column, holds, best in blocks:
-                    score = np.zeros((some.num_rows, holds.shape[1]))
-                    for chosen, boost in ((~is_text, TITLE_BOOST), (is_text, 1.0)):
-                        where = column[slots[chosen] % n] if n else slots[chosen]
-                        inside = where >= 0
-                        weights = np.zeros((some.num_rows, len(holds)))
-                        weights[row[chosen][inside], where[inside]] = weight[chosen][inside]
-                        score = np.maximum(score, boost * (weights @ holds))
-                    best.add(np.where(score > 0, np.round(score, SCORE_DIGITS), -np.inf), some.column("content_hash"))
-        found = [r for _, _, best in blocks for r in best.rows()]
-        if found:
-            ids, keys, scores = zip(*found, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, id_arrow), pa.array(keys, pa.string()), pa.array(scores, pa.float64())],
-                ["query_id", "content_hash", "score"],
-            )
+                scorer.add(row, slots, tf, np.where(slots >= n, dl[1][row], dl[0][row]), some.column("content_hash"))
+        yield scorer.batch(id_type)
 
     return matched.mapInArrow(run, schema)
 
@@ -325,15 +284,15 @@ def top_k(scored: DataFrame, k: int, key: str) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
 
 
-def _batches(terms: DataFrame, max_pairs: int) -> Iterator[_Batch]:
+def query_batches(terms: DataFrame, max_pairs: int) -> Iterator[QueryBatch]:
     """The queries in as many batches as their counted (query, term) pairs need, each bounded."""
     count = max(1, -(-terms.count() // max_pairs))
     numbered = terms.withColumn("_b", F.pmod(F.xxhash64("query_id"), F.lit(count)))
     for number in range(count):
-        yield _Batch.of(numbered.filter(F.col("_b") == number).select("query_id", "term").collect())
+        yield QueryBatch.of(numbered.filter(F.col("_b") == number).select("query_id", "term").collect())
 
 
-def _answered(spark, parts: list[DataFrame], k: int, id_type: T.DataType) -> DataFrame:
+def answered(spark, parts: list[DataFrame], k: int, id_type: T.DataType) -> DataFrame:
     if not parts:
         schema = T.StructType([T.StructField("query_id", id_type), T.StructField("content_hash", T.StringType()), T.StructField("score", T.DoubleType())])
         parts = [spark.createDataFrame([], schema)]
@@ -359,55 +318,12 @@ def search(
     terms = query_terms(questions, rewrite, lang, stemmer)
     fields = field_terms(search_fields(documents, lang), lang, stemmer)
     id_type, parts = questions.schema["query_id"].dataType, []
-    for batch in _batches(terms, max_pairs):
+    for batch in query_batches(terms, max_pairs):
         if batch.queries:
             matched = written(_matched(fields, batch), "matches")
             statistics = _statistics(matched, len(batch.terms))
             parts.append(_best_documents(matched, batch, statistics, k, id_type))
-    return _answered(questions.sparkSession, parts, k, id_type)
-
-
-def search_index(
-    questions: DataFrame,
-    index: LexicalIndex,
-    k: int = MIN_DEPTH,
-    rewrite: bool = False,
-    stemmer: Callable[[Column], Column] | None = None,
-    max_pairs: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
-    """Like :func:`search`, over stored index tables.
-
-    The postings of the wanted terms are put together by document; nothing else is read.
-    """
-    spark = questions.sparkSession
-    terms = query_terms(questions, rewrite, index.lang, stemmer)
-    id_type, parts = questions.schema["query_id"].dataType, []
-    lengths = {r["field"]: r for r in index.field_stats.collect()}
-    for batch in _batches(terms, max_pairs):
-        if not batch.queries:
-            continue
-        n = len(batch.terms)
-        keys = spark.createDataFrame(list(enumerate(batch.terms)), "place int, term string")
-        on = ["term"]
-        if "term_bucket" in index.postings.columns:
-            buckets = F.lit(index.field_stats.agg(F.max("n_buckets")).first()[0] or 1)
-            keys = keys.withColumn("term_bucket", term_bucket(F.col("term"), buckets))
-            on = ["term_bucket", "term"]
-        keys = F.broadcast(keys)
-        slot = F.col("place") + F.when(F.col("field") == FIELDS[0], 0).otherwise(n)
-        frequencies = np.zeros(2 * n)
-        for r in index.term_stats.join(keys, on).select(slot.alias("slot"), "df").collect():
-            frequencies[r["slot"]] = r["df"]
-        dl = [F.max(F.when(F.col("field") == f, F.col("dl"))).cast("bigint").alias(f"{f}_dl") for f in FIELDS]
-        matched = index.postings.join(keys, on).groupBy("content_hash").agg(
-            *dl, F.collect_list(F.struct(slot.cast("int").alias("slot"), F.col("tf").cast("bigint").alias("tf"))).alias("hits")
-        ).select("content_hash", "title_dl", "text_dl", F.col("hits.slot").alias("slots"), F.col("hits.tf").alias("tfs"))
-        statistics = (
-            frequencies, [lengths[f]["n_docs"] if f in lengths else 0 for f in FIELDS],
-            [lengths[f]["avg_dl"] if f in lengths else 0 for f in FIELDS],
-        )
-        parts.append(_best_documents(matched, batch, statistics, k, id_type))
-    return _answered(spark, parts, k, id_type)
+    return answered(questions.sparkSession, parts, k, id_type)
 
 
 def with_hits(

@@ -800,7 +800,7 @@ SELECT 'https://x.example/' || sha256(text) AS url, 1 AS n, min(doc_id) AS doc_i
     "stream_replay": """
 SELECT event_type AS key, count(*) AS streamed, count(*) AS replayed, max(event_id) AS last_offset FROM events GROUP BY 1""",
 }
-ORACLE["bm25_index_topk"] = ORACLE["bm25_topk"]
+ORACLE["bm25_index_topk"] = ORACLE["bm25_index_updated"] = ORACLE["bm25_topk"]
 ORACLE["chunk_replacement"] = None  # filled below
 
 

@@ -22,6 +22,7 @@ from corpuslake.operators import (
     gold,
     langid,
     lexical,
+    lexical_index,
     ops,
     vector,
 )
@@ -618,8 +619,8 @@ def lexical_documents(spark, sf):
 
 
 def term_stats(spark, sf):
-    index = lexical.LexicalIndex.build(t.lexical_docs(spark, sf))
-    return index.term_stats
+    fields = lexical.search_fields(t.lexical_docs(spark, sf), None)
+    return lexical.term_stats(lexical.postings(lexical.field_terms(fields)))
 
 
 def field_stats(spark, sf):
@@ -649,11 +650,22 @@ def bm25_topk_lang(spark, sf):
 
 
 def bm25_index_topk(spark, sf):
-    """The same as ``bm25_topk`` from index tables written to and read from storage."""
-    folder = shared_folder(spark, "lexical")
-    lexical.LexicalIndex.write(t.lexical_docs(spark, sf), folder, buckets=8)
-    index = lexical.LexicalIndex.read(spark, folder)
-    return _ranked(lexical.search_index(t.questions(spark, sf), index, DEPTH), "content_hash")
+    """The same as ``bm25_topk`` from an index written to storage, of which only blocks that matter are read."""
+    index = lexical_index.LexicalIndex.write(t.lexical_docs(spark, sf), shared_folder(spark, "lexical"))
+    return _ranked(lexical_index.search_index(t.questions(spark, sf), index, DEPTH), "content_hash")
+
+
+def bm25_index_updated(spark, sf):
+    """The same from an index of other texts, some missing and some to be removed, that was then updated."""
+    docs = t.lexical_docs(spark, sf)
+    number = F.regexp_extract("canonical_url", "[0-9]+$", 0).cast("long")
+    stale = docs.withColumn("text", F.when(number % 3 == 0, F.concat(F.lit("older words and "), F.reverse("text"))).otherwise(F.col("text")))
+    extra = docs.filter(number % 5 == 0).withColumn("content_hash", F.concat(F.lit("gone-"), "content_hash"))
+    index = lexical_index.LexicalIndex.write(
+        stale.filter(number % 7 != 0).unionByName(extra), shared_folder(spark, "lexical"), blocks=16
+    )
+    index.update(docs.filter((number % 3 == 0) | (number % 7 == 0)), removed=extra.select("content_hash"))
+    return _ranked(lexical_index.search_index(t.questions(spark, sf), index, DEPTH), "content_hash")
 
 
 def lexical_branch(spark, sf):
@@ -919,7 +931,7 @@ QUERIES = {
         gold_projection, gold_partition_counts, gold_write_read, event_rows, event_error_counts,
         bus_messages, html_text, html_marks, html_nested, text_source_cascade, lang_profiles, lang_detect, chunk_documents,
         lexical_query_rewrite, lexical_documents, term_stats, field_stats, bm25_topk, bm25_topk_lang,
-        bm25_index_topk, lexical_branch, snippets, encoded_questions, centroid_topk, cosine_topk,
+        bm25_index_topk, bm25_index_updated, lexical_branch, snippets, encoded_questions, centroid_topk, cosine_topk,
         cosine_topk_lang, vector_index_topk, vector_dimensions, rrf_fusion, relevance_gate, hybrid_retrieve,
         vector_only_retrieve, lexical_only_retrieve, search_response, citations, prompt_assembly,
         sources_footer, answer_routing, case_scores, eval_summary, recall_report, recall_cases,

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpuslake.operators import encode, fusion, lexical, vector
+from corpuslake.operators import encode, fusion, lexical, lexical_index, vector
 from corpuslake.settings import RetrievalSettings
 
 WORDS = "crue népal himalaya pluie fleuve pont route village secours météo".split()
@@ -72,10 +72,10 @@ def test_bm25_equals_brute_force(spark, max_pairs):
 def test_stored_index_gives_the_same(spark, tmp_path, max_pairs):
     docs, _ = corpus(spark)
     asked = spark.createDataFrame(QUERIES, "query_id long, question string")
-    lexical.LexicalIndex.write(docs, str(tmp_path), buckets=4)
-    index = lexical.LexicalIndex.read(spark, str(tmp_path))
+    lexical_index.LexicalIndex.write(docs, str(tmp_path), blocks=4)
+    index = lexical_index.LexicalIndex.read(spark, str(tmp_path))
     cols = ["query_id", "content_hash", "score", "rank"]
-    assert ranked(lexical.search_index(asked, index, 7, max_pairs=max_pairs).select(cols)) == ranked(
+    assert ranked(lexical_index.search_index(asked, index, 7, max_pairs=max_pairs).select(cols)) == ranked(
         lexical.search(asked, docs, 7).select(cols)
     )
 
@@ -227,8 +227,8 @@ def test_blank_questions_are_rejected(spark):
 
 def test_a_search_needs_an_index_of_its_language(spark, tmp_path):
     docs, _ = corpus(spark)
-    lexical.LexicalIndex.write(docs, str(tmp_path), lang="fr", buckets=2)
-    index = lexical.LexicalIndex.read(spark, str(tmp_path), "fr")
+    lexical_index.LexicalIndex.write(docs, str(tmp_path), lang="fr", blocks=2)
+    index = lexical_index.LexicalIndex.read(spark, str(tmp_path), "fr")
     asked = spark.createDataFrame(QUERIES, "query_id long, question string")
     with pytest.raises(ValueError):
         fusion.hybrid_retrieve(asked, docs, None, RetrievalSettings(vector=False), index=index)
