@@ -24,6 +24,8 @@ GATE = 16
 MAX_SAMPLE = 8_000
 EPOCHS, BATCH, RATE = 60, 64, 0.01
 THRESHOLD = 0.3
+#: Texts are encoded in runs of about so many bytes; an array of 8 bytes for each is one of ten that are held.
+RUN_BYTES = 1_000_000
 
 _CLASSES = np.full(256, 9, np.uint8)  # 9: any other mark
 for _members, _class in ((range(97, 123), 0), (range(65, 91), 1), (range(48, 58), 2), (b" ", 3), (b"\n", 4), (b".,;:", 5), (b"!?", 6), (b"\"'()", 7), (range(128, 256), 8), (range(0, 9), 10)):
@@ -161,7 +163,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in slices(batches):
+        for part, texts in slices(batches, size=RUN_BYTES):
             x, first = encode(texts)
             ends = np.append(first[1:], len(x))
             rows = [x[a:b].tobytes() for a, b in zip(first, ends, strict=True)]
@@ -186,7 +188,7 @@ def score_quality(docs: DataFrame, model: Attention, text: str = "text") -> Data
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in slices(batches, text):
+        for part, texts in slices(batches, text, RUN_BYTES):
             score = shared.value.score(*encode(texts))
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score)], [*part.schema.names, "score"])
 
