@@ -244,7 +244,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, key:
     roots, _ = store(components(links, "a", "b"), "roots")
     more = _leftover_links(held, roots, texts, size, round(100 * threshold))
     if more is not None:
-        links, _ = store(links.unionByName(more), "links")
+        # A component found so far counts as links of its members to its root.
+        found = roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+        links, _ = store(found.unionByName(more), "links")
         roots, _ = store(components(links, "a", "b"), "roots")
     low = classes.join(roots.withColumnRenamed("node", "nr"), "nr", "left").select("set", "low", F.coalesce("root", "nr").alias("root"))
     low, _ = store(low, "class-roots")
