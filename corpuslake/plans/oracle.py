@@ -491,7 +491,7 @@ FEEDS = "feeds AS (SELECT source AS id, min(lang) AS lang FROM documents GROUP B
 # One article per feed and guid, the first that landed; every store holds what is its own once.
 STAGE_ROWS = """
 SELECT 'https://x.example/' || min(doc_id) AS url, source AS feed_id, 'embedded' AS status, 1 AS bronze, 1 AS silver,
-  1 AS events, 1 AS lexical, 0 AS doubled_chunks, true AS chunked
+  1 AS events, 1 AS lexical, 1 AS indexed, 0 AS doubled_chunks, true AS chunked
 FROM documents GROUP BY source, doc_id // 2"""
 PAGE_COLUMNS = (
     f"id, feed_id, url, item_key, content_hash, s3_uri, silver_s3_uri, title, {_day('published_at')} AS published_at, "
@@ -707,6 +707,10 @@ FROM langs l JOIN sourced s ON s.doc_id = l.id LEFT JOIN judged j ON j.doc_id =
 SELECT id, CASE WHEN status <> 'fetched' THEN {_day('published_at')} END AS published_at FROM articles"""),
     "landed_feeds": """
 SELECT source AS feed_id, lang AS title, 'https://x.example/' || doc_id AS link, doc_id::VARCHAR AS guid, md5(text) AS digest
+FROM documents""",
+    "feed_dialects": """
+SELECT source AS feed_id, lang AS title, 'https://x.example/' || doc_id AS link, CASE WHEN doc_id % 3 > 0 THEN 'urn:doc:' || doc_id END AS id,
+  md5(text) AS summary, CASE WHEN doc_id % 3 > 0 THEN '2024-01-02' END AS updated, source AS author, CASE WHEN doc_id % 3 = 0 THEN 'a,b' ELSE 's' END AS terms
 FROM documents""",
     "stream_bus": _with(*CATALOG, BUS, EVENT_ROWS, select="SELECT * FROM rows_"),
     "lang_profiles": _with(PLAIN_GRAMS, PROFILES, select="""
@@ -797,9 +801,21 @@ FROM conversations WHERE role = 'assistant'""",
     "stream_dedup": "SELECT DISTINCT source || ':' || sha256(text) AS seen_key FROM documents",
     "stream_upsert": """
 SELECT 'https://x.example/' || sha256(text) AS url, 1 AS n, min(doc_id) AS doc_id FROM documents GROUP BY 1""",
+    "stream_earliest": """
+SELECT source || ':' || sha256(text) AS seen_key, min(doc_id) AS doc_id FROM documents GROUP BY 1""",
+    "stream_in_order": """
+SELECT doc_id, source, row_number() OVER w - 1 AS number, row_number() OVER w - 1 AS position, 0 AS missing
+FROM documents WINDOW w AS (PARTITION BY source ORDER BY doc_id)""",
+    "stream_run_log": _with(*CATALOG, BUS, EVENT_ROWS, select="""
+SELECT 'parse' AS job, 2 AS runs_total, count(*) FILTER (error IS NULL) AS new_items_total, count(error) AS errors_total,
+  epoch(TIMESTAMP '2024-02-01 02:00:00') AS last_run_epoch FROM rows_"""),
+    "stages_limited": """
+WITH articles AS (SELECT DISTINCT source, doc_id // 2 AS item FROM documents)
+SELECT source AS feed_id, count(*) AS parsed, 1 AS limited, sum(count(*)) OVER () AS total FROM articles GROUP BY source""",
     "stream_replay": """
 SELECT event_type AS key, count(*) AS streamed, count(*) AS replayed, max(event_id) AS last_offset FROM events GROUP BY 1""",
 }
+ORACLE["vector_cells_topk"] = ORACLE["vector_index_topk"]
 ORACLE["bm25_index_topk"] = ORACLE["bm25_index_updated"] = ORACLE["bm25_topk"]
 ORACLE["chunk_replacement"] = None  # filled below
 

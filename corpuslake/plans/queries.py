@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,11 +20,13 @@ from corpuslake.operators import (
     extraction,
     fusion,
     gold,
+    joins,
     langid,
     lexical,
     lexical_index,
     ops,
     vector,
+    vector_index,
 )
 from corpuslake.plans import stages
 from corpuslake.plans import tables as t
@@ -450,7 +452,7 @@ def _stage_tables(home: stages.Lake) -> DataFrame:
 
     a = home.articles.current().select("url", "feed_id", "status", "content_hash", F.col("s3_uri").alias("uri"))
     sent = bus.ingested_events(bus.read_messages(home.spark, home.bus))
-    chunks = home.chunk_vectors()
+    chunks, held = home.chunk_vectors(), home.index().lists.filter("field = ''")
     doubled = chunks.groupBy("content_hash").agg(
         (F.count("*") - F.countDistinct("chunk_id")).alias("doubled_chunks"), (F.count("*") > 0).alias("chunked")
     )
@@ -459,8 +461,9 @@ def _stage_tables(home: stages.Lake) -> DataFrame:
         a.join(per(home.bronze.versions(), "uri", "bronze"), "uri", "left").join(silver, "uri", "left")
         .join(per(sent, "url", "events"), "url", "left")
         .join(per(home.lexical_documents.current(), "content_hash", "lexical"), "content_hash", "left")
+        .join(per(held.select(F.explode("hashes").alias("content_hash")), "content_hash", "indexed"), "content_hash", "left")
         .join(doubled, "content_hash", "left")
-        .select("url", "feed_id", "status", "bronze", "silver", "events", "lexical", "doubled_chunks", "chunked")
+        .select("url", "feed_id", "status", "bronze", "silver", "events", "lexical", "indexed", "doubled_chunks", "chunked")
     )
 
 
@@ -580,6 +583,32 @@ def landed_feeds(spark, sf):
     return entries.select("feed_id", "title", "link", "guid", F.md5("summary").alias("digest"))
 
 
+def feed_dialects(spark, sf):
+    """Documents landed as items of RSS, RDF and Atom in turn, with the elements each has; one parse of every file."""
+    d = t.text_table(spark, sf).select("doc_id", "source", "lang", F.md5("text").alias("body"))
+    link, about = F.concat(F.lit("https://x.example/"), "doc_id"), F.concat(F.lit("urn:doc:"), "doc_id")
+
+    def of(*parts) -> Column:
+        return F.concat(*[F.lit(p) if isinstance(p, str) and p.startswith(("<", '"')) else F.col(p) if isinstance(p, str) else p for p in parts])
+
+    rss = of(
+        '<rss xmlns:dc="d" xmlns:content="c"><channel><title>t</title><item><title>', "lang", "</title><link> ", link, "</link><content:encoded>", "body",
+        "</content:encoded><dc:creator>", "source", "</dc:creator><category>a</category><category>b</category></item></channel></rss>",
+    )
+    rdf = of(
+        '<rdf:RDF xmlns:rdf="r" xmlns="http://purl.org/rss/1.0/" xmlns:dc="d"><channel><title>t</title></channel><item rdf:about="', about, '"><title>', "lang",
+        "</title><link>", link, "</link><description>", "body", "</description><dc:date>2024-01-02</dc:date><dc:creator>", "source",
+        "</dc:creator><dc:subject>s</dc:subject></item></rdf:RDF>",
+    )
+    atom = of(
+        '<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>', "lang", '</title><id>', about, '</id><link rel="self" href="no"/><link href="', link,
+        '"/><summary>', "body", "</summary><updated>2024-01-02</updated><author><name>", "source", '</name></author><category term="s"/></entry></feed>',
+    )
+    kind = F.col("doc_id") % 3
+    entries = feeds.landed_entries(d.select(F.col("source").alias("feed_id"), F.when(kind == 0, rss).when(kind == 1, rdf).otherwise(atom).alias("xml")))
+    return entries.select("feed_id", "title", "link", "id", "summary", "updated", "author", F.array_join("tags.term", ",").alias("terms"))
+
+
 def silver_build(spark, sf):
     """Silver rows of articles whose bronze summary may be missing: text, source, language."""
     cascade = _cascade_entries(spark, sf).withColumns(
@@ -718,6 +747,15 @@ def vector_index_topk(spark, sf):
     )
 
 
+def vector_cells_topk(spark, sf):
+    """The same from vectors stored by cell, of which only cells that may matter are read."""
+    wanted = encode.encode(t.questions(spark, sf), "question")
+    index = vector_index.VectorIndex.write(encode.encode(t.chunks(spark, sf)), shared_folder(spark, "vectors"))
+    return vector.with_payload(vector_index.cosine_top_k(wanted, index, DEPTH), index.vectors).select(
+        "query_id", F.col("rank").cast("long").alias("rank"), "chunk_id", "score", F.md5("text").alias("digest")
+    )
+
+
 def cosine_topk_lang(spark, sf):
     wanted = encode.encode(t.questions(spark, sf), "question")
     return _ranked(vector.cosine_top_k(wanted, t.chunk_vectors(spark, sf), DEPTH, lang="de"), "chunk_id")
@@ -919,6 +957,50 @@ def stream_bus(spark, sf):
     )
 
 
+def _reordered(spark, rows: DataFrame, folder: str, files: int = 6) -> DataFrame:
+    """A stream over ``rows`` that arrive file by file, dealt to the files by a hash."""
+    rows.repartition(files, F.xxhash64("doc_id")).write.parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def stream_earliest(spark, sf):
+    """Of every text of a feed its earliest document, from a stream in another order."""
+    folder = shared_folder(spark, "stream-earliest")
+    rows = t.read(spark, sf, "documents").select("doc_id", F.concat_ws(":", "source", F.sha2("text", 256)).alias("seen_key"))
+    target = stores.VersionedTable(spark, f"{folder}/updates", struct("seen_key string, doc_id long"), ())
+    first = streams.earliest_per_key(_reordered(spark, rows, f"{folder}/in"), "seen_key", "doc_id")
+    streams.drain(first, f"{folder}/checkpoint", streams.append_batches(target), mode="update")
+    return streams.settled(target.versions(), "seen_key", "doc_id").select("seen_key", "doc_id")
+
+
+def stream_in_order(spark, sf):
+    """Documents numbered per feed, released in that order from a stream in another one."""
+    folder = shared_folder(spark, "stream-order")
+    rows = joins.numbered_per_key(t.read(spark, sf, "documents").select("doc_id", "source"), "source", "doc_id")
+    freed = streams.in_order(_reordered(spark, rows, f"{folder}/in"), "source", "number")
+    streams.drain(freed, f"{folder}/checkpoint", path=f"{folder}/out")
+    return spark.read.parquet(f"{folder}/out")
+
+
+def stream_run_log(spark, sf):
+    """The run log's totals of a stream of bus events that was drained twice; the second time it was empty."""
+    folder = shared_folder(spark, "stream-log")
+    bus.write_messages(_bus(spark, sf).select("key", "value", F.col("id").alias("offset")).repartition(3), f"{folder}/topic")
+    events, runs = bus.ingested_events(bus.stream_messages(spark, f"{folder}/topic", max_files=1)), stores.run_log(spark, folder)
+    for hour in (1, 2):
+        streams.logged_drain(events, f"{folder}/checkpoint", f"{folder}/out", runs, "parse", datetime(2024, 2, 1, hour, tzinfo=timezone.utc))
+    return ops.worker_stats(runs.versions()).select("job", "runs_total", "new_items_total", "errors_total", "last_run_epoch")
+
+
+def stages_limited(spark, sf):
+    """Articles parsed from the bus in runs of limited length, none of whose events is lost."""
+    home, pages, now = _home(spark, sf, "stages"), t.read(spark, sf, "pages"), datetime(2024, 2, 1)
+    total = stages.ingest(home, _landed(spark, sf), now)
+    runs = [sum(streams.parse_events(home, pages, now, limit=limit)) for limit in (total // 2, 1, None)]
+    parsed = home.articles.current().groupBy("feed_id").agg(F.count_if(F.col("status") == "parsed").alias("parsed"))
+    return parsed.select("feed_id", "parsed", F.lit(runs[0] + runs[1] - total // 2).cast("long").alias("limited"), F.lit(sum(runs)).cast("long").alias("total"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -932,10 +1014,11 @@ QUERIES = {
         bus_messages, html_text, html_marks, html_nested, text_source_cascade, lang_profiles, lang_detect, chunk_documents,
         lexical_query_rewrite, lexical_documents, term_stats, field_stats, bm25_topk, bm25_topk_lang,
         bm25_index_topk, bm25_index_updated, lexical_branch, snippets, encoded_questions, centroid_topk, cosine_topk,
-        cosine_topk_lang, vector_index_topk, vector_dimensions, rrf_fusion, relevance_gate, hybrid_retrieve,
+        cosine_topk_lang, vector_index_topk, vector_cells_topk, vector_dimensions, rrf_fusion, relevance_gate, hybrid_retrieve,
         vector_only_retrieve, lexical_only_retrieve, search_response, citations, prompt_assembly,
         sources_footer, answer_routing, case_scores, eval_summary, recall_report, recall_cases,
         last_user_message, answer_citations, stream_dedup, stream_upsert, stream_replay,
-        published_dates, landed_feeds, silver_build, stream_bus, stages_run, stages_resumed,
+        published_dates, landed_feeds, feed_dialects, silver_build, stream_bus, stages_run, stages_resumed,
+        stream_earliest, stream_in_order, stream_run_log, stages_limited,
     )
 }

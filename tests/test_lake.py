@@ -7,10 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpuslake.operators import extraction, gold, langid
+from corpuslake.operators.joins import numbered_per_key
 from corpuslake.plans import stages, tables
 from corpuslake.schemas import struct
 from corpuslake.sources import bus, feeds, lake
-from corpuslake.sources.tables import VersionedTable
+from corpuslake.sources.tables import VersionedTable, run_log
 from corpuslake.streaming import ingest as streams
 
 NOW = datetime(2026, 9, 1, 12)
@@ -154,10 +155,70 @@ def test_event_filtering(spark):
     assert bus.kafka_options("h:1", "t", replay=True)["startingOffsets"] == "earliest"
 
 
-def test_feed_order_is_kept_inside_a_batch(spark):
-    df = spark.createDataFrame([("a", "", i) for i in (3, 1, 2)] + [("b", "", 1)], "feed_id string, value string, offset long")
-    rows = streams.per_feed_order(df).filter("feed_id = 'a'").collect()
-    assert [r.offset for r in rows] == [1, 2, 3]
+def sequenced(spark, folder, name, numbers, key="a"):
+    """A file of one feed's numbered rows."""
+    rows = [(key, n, f"v{n}", 0.1 * n) for n in numbers]
+    spark.createDataFrame(rows, "feed string, n long, v string, x double").coalesce(1).write.parquet(f"{folder}/in/{name}")
+
+
+def test_rows_are_held_back_and_released_in_order(spark, tmp_path):
+    folder = str(tmp_path)
+    schema = "feed string, n long, v string, x double"
+
+    def drained(most_held=100):
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/in/*")
+        streams.drain(streams.in_order(stream, "feed", "n", most_held), f"{folder}/c", path=f"{folder}/out")
+        rows = spark.read.parquet(f"{folder}/out").filter("feed = 'a'").orderBy("position").collect()
+        assert all((r.v, r.x) == (f"v{r.n}", 0.1 * r.n) for r in rows)
+        return [(r.n, r.position, r.missing) for r in rows]
+
+    sequenced(spark, folder, "1", [2, 1, 4])
+    sequenced(spark, folder, "1b", [0, 1], "b")
+    assert drained() == []  # nothing before its predecessor
+    sequenced(spark, folder, "2", [0, 2])
+    assert drained() == [(0, 0, 0), (1, 1, 0), (2, 2, 0)]
+    sequenced(spark, folder, "3", [1, 7, 4])  # late, doubled and ahead
+    sequenced(spark, folder, "3b", [2], "b")
+    assert drained() == [(0, 0, 0), (1, 1, 0), (2, 2, 0)]
+    sequenced(spark, folder, "4", [5])
+    sequenced(spark, folder, "4b", [3], "b")
+    got = drained(2)  # too many are held: all are released, with the gaps before them
+    assert got == [(0, 0, 0), (1, 1, 0), (2, 2, 0), (4, 3, 1), (5, 4, 0), (7, 5, 1)]
+    sequenced(spark, folder, "5", [6, 3, 8])
+    assert drained() == [*got, (8, 6, 0)]
+    assert [r.n for r in spark.read.parquet(f"{folder}/out").filter("feed = 'b'").orderBy("position").collect()] == [0, 1, 2, 3]
+
+
+def test_the_earliest_copy_is_kept(spark, tmp_path):
+    target = VersionedTable(spark, str(tmp_path / "t"), struct("k string, at long, v string"), ())
+    for i, rows in enumerate([[("a", 5, "x"), ("b", 1, "y")], [("a", 3, "z"), ("b", 2, "w")], [("a", 4, "q")]]):
+        spark.createDataFrame(rows, "k string, at long, v string").write.parquet(str(tmp_path / f"in/{i}"))
+        stream = spark.readStream.schema("k string, at long, v string").parquet(str(tmp_path / "in/*"))
+        streams.drain(streams.earliest_per_key(stream, "k", "at"), str(tmp_path / "c"), streams.append_batches(target), mode="update")
+    kept = streams.settled(target.versions(), "k", "at")
+    assert sorted((r.k, r.at, r.v) for r in kept.collect()) == [("a", 3, "z"), ("b", 1, "y")]
+
+
+def test_numbers_per_key_are_consecutive(spark):
+    rows = [("hot" if i % 3 else f"k{i % 5}", i * 7919 % 1000) for i in range(1_000)] + [(None, 1), (None, 0)]
+    df = spark.createDataFrame(rows, "k string, v long").repartition(13)
+    got = numbered_per_key(df, "k", "v").collect()
+    by_key = {}
+    for r in sorted(got, key=lambda r: r.number):
+        by_key.setdefault(r.k, []).append((r.number, r.v))
+    assert len(got) == 1_002
+    for found in by_key.values():
+        assert [n for n, _ in found] == list(range(len(found))) and [v for _, v in found] == sorted(v for _, v in found)
+
+
+def test_drained_rows_are_counted(spark, tmp_path):
+    runs = run_log(spark, str(tmp_path / "log"))
+    for i in range(3):
+        spark.createDataFrame([(i, None), (i, "bad")], "v int, error string").coalesce(1).write.parquet(str(tmp_path / f"in/{i}"))
+    stream = spark.readStream.schema("v int, error string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/*"))
+    got = [streams.logged_drain(stream, str(tmp_path / "c"), str(tmp_path / "o"), runs, "parse", NOW) for _ in range(2)]
+    assert got == [(3, 3), (0, 0)]
+    assert sorted((r.new_items, r.errors) for r in runs.versions().collect()) == [(0, 0), (3, 3)]
 
 
 @pytest.mark.parametrize(
@@ -331,6 +392,19 @@ def test_limits_count_ingest_events(spark, home, landed, pages):
     assert sum(streams.parse_events(home, pages, NOW, limit=2)) == 2
 
 
+def test_events_beyond_a_limit_are_parsed_by_later_runs(spark, home, landed, pages):
+    stages.ingest(home, landed, NOW)
+    assert [sum(streams.parse_events(home, pages, NOW, limit=n)) for n in (1, 1, 0)] == [1, 1, 0]
+    assert home.articles.current().filter("status = 'fetched'").count() >= 3
+    stages.ingest(home, spark.createDataFrame([("world", 9, "t", "https://x/late", "late", None, BODY, None, None, None, None)], feeds.ENTRY_SCHEMA), NOW)
+    assert sum(streams.parse_events(home, pages, NOW)) == 4  # the three held ones and the new one
+    assert sum(streams.parse_events(home, pages, NOW)) == 0
+    offsets = {}
+    for r in bus.read_messages(spark, home.bus).collect():
+        offsets.setdefault(r.key, []).append(r.offset)
+    assert all(sorted(o) == list(range(len(o))) for o in offsets.values())
+
+
 def test_items_of_two_feeds_share_their_chunks(spark, home, pages):
     schema = feeds.ENTRY_SCHEMA
     rows = [(f, 0, "t", f"https://x/{f}", "same", None, BODY * 9, None, None, None, None) for f in ("france", "other")]
