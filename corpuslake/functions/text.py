@@ -28,6 +28,8 @@ QUESTION_STOP_WORDS = frozenset(
 ) | {LAKE_NAME}
 QUESTION_TOKEN = r"[0-9A-Za-zÀ-ÿ_-]+"
 WORD_TOKEN = r"[\p{L}\p{N}]+"
+SENTENCE = r"[^.!?\n]+[.!?]*"
+FRAGMENT_WORDS = 20
 POSSESSIVE = r"['’][sS]($|[^\p{L}\p{N}])"
 # Stop words of the per-language analysis (the usual English and French lists).
 ANALYSIS_STOP_WORDS = {
@@ -176,6 +178,37 @@ def snippet(text: Column, term: Column, width: int = SNIPPET_CHARS) -> Column:
     )
 
 
+def fragments(text: Column) -> Column:
+    """A text's sentences, long ones in runs of ``FRAGMENT_WORDS`` words, blanks evened."""
+    sentences = F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(0))
+
+    def runs(sentence: Column) -> Column:
+        def cut(found: Column) -> Column:
+            starts = F.when(F.size(found) > 0, F.sequence(F.lit(1), F.size(found), F.lit(FRAGMENT_WORDS)))
+            return F.transform(starts, lambda at: F.array_join(F.slice(found, at, F.lit(FRAGMENT_WORDS)), " "))
+
+        return bind(F.regexp_extract_all(sentence, F.lit(r"\S+"), F.lit(0)), cut)
+
+    return F.flatten(F.filter(F.transform(sentences, runs), lambda found: found.isNotNull()))
+
+
+def best_fragment(text: Column, terms: Column, lang: str | None = None, width: int = SNIPPET_CHARS) -> Column:
+    """The fragment with the most of the analysed ``terms``, cut to ``width``; the text's start without any.
+
+    Every distinct term counts with its length, as long words are the rarer ones. Of equal
+    fragments the first is shown.
+    """
+
+    def scored(fragment: Column, at: Column) -> Column:
+        held = F.array_intersect(F.array_distinct(analyzed(fragment, lang)), terms)
+        score = F.aggregate(held, F.lit(0), lambda total, term: total + F.length(term))
+        return F.struct(score.alias("score"), (-at).alias("at"), fragment.alias("fragment"))
+
+    best = F.array_max(F.transform(fragments(text), scored))
+    start = F.substring(text, 1, width)
+    return bind(best, lambda b: F.when(b["score"] > 0, F.substring(b["fragment"], 1, width)).otherwise(start))
+
+
 def clean_snippet(col: Column, width: int = SNIPPET_CHARS) -> Column:
     """Plain one-line snippet: no emphasis marks, single spaces, cut with an ellipsis."""
     flat = strip(F.regexp_replace(F.regexp_replace(col, "</?em>", ""), r"(?U)\s+", " "))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuslake.functions.keys import first_filled
-from corpuslake.functions.text import analyzed, analyzed_counts, lexical_query, snippet, words
+from corpuslake.functions.text import analyzed, analyzed_counts, best_fragment, lexical_query
 from corpuslake.operators.best import TaskBest
 from corpuslake.session import written
 from corpuslake.settings import (
@@ -331,14 +331,12 @@ def with_hits(
 ) -> DataFrame:
     """Add the article's metadata and a snippet to ranked hits.
 
-    The snippet shows the first of the question's terms, in alphabetical order, that
-    the article holds. Hits are at most ``k`` per question; they are stored first, so
-    that Spark knows their size and scans the corpus past them rather than shuffle it.
+    The snippet is the fragment with most of the question's terms, as the search analyses
+    them. Hits are at most ``k`` per question; they are stored first, so that Spark knows
+    their size and scans the corpus past them rather than shuffle it.
     """
     ranked = written(ranked, "hits")
-    asked = query_terms(questions, rewrite, lang).groupBy("query_id").agg(
-        F.array_sort(F.collect_list("term")).alias("_terms")
-    )
+    asked = query_terms(questions, rewrite, lang).groupBy("query_id").agg(F.collect_set("term").alias("_terms"))
     hits = ranked.join(asked, "query_id").join(
         documents.select(
             "content_hash", "feed_id", "title", "content_lang", "canonical_url",
@@ -346,9 +344,8 @@ def with_hits(
         ),
         "content_hash",
     )
-    held = F.array_union(words(F.col("title")), words(F.col("text")))
-    first = F.array_min(F.array_intersect("_terms", held))
-    return hits.withColumn("snippet", snippet(F.col("text"), first)).drop("text", "_terms")
+    analysis = lang if lang in ANALYZED_LANGS else None
+    return hits.withColumn("snippet", best_fragment(F.col("text"), F.col("_terms"), analysis)).drop("text", "_terms")
 
 
 def count_documents(documents: DataFrame | None) -> int:

@@ -271,15 +271,24 @@ found AS (
   WHERE rank <= {k})"""
 
 
-SNIPPET = """CASE WHEN strpos(lower(d.text), match_term) > 0
-    THEN substring(d.text, greatest(1, strpos(lower(d.text), match_term) - 30), 120)
-    ELSE substring(d.text, 1, 120) END"""
-
-HITS = f"""
+HITS = rf"""
+sentences AS (
+  SELECT content_hash, unnest(s) AS sentence, generate_subscripts(s, 1) AS si FROM (
+    SELECT content_hash, regexp_extract_all(text, '{text.SENTENCE}') AS s FROM silver WHERE content_hash IN (SELECT content_hash FROM found))),
+fragments AS (
+  SELECT content_hash, si, fi, array_to_string(w[fi + 1:fi + {text.FRAGMENT_WORDS}], ' ') AS fragment FROM (
+    SELECT *, unnest(range(0, len(w), {text.FRAGMENT_WORDS})) AS fi FROM (
+      SELECT content_hash, si, regexp_extract_all(sentence, '\S+') AS w FROM sentences))),
+shown AS (
+  SELECT * FROM (
+    SELECT query_id, f.content_hash, fragment, si, fi,
+      coalesce(list_sum(list_transform(list_intersect(list_distinct({_words('fragment')}), terms), lambda t: length(t))), 0) AS hit
+    FROM found f JOIN fragments USING (content_hash) JOIN (SELECT query_id, list(term) AS terms FROM qterms GROUP BY query_id) USING (query_id))
+  QUALIFY row_number() OVER (PARTITION BY query_id, content_hash ORDER BY hit DESC, si, fi) = 1),
 hits AS (
-  SELECT query_id, rank, f.content_hash, score, feed_id, title, content_lang, canonical_url, silver_s3_uri,
-    {SNIPPET} AS snippet
-  FROM found f JOIN silver d USING (content_hash))"""
+  SELECT f.query_id, rank, f.content_hash, score, feed_id, title, content_lang, canonical_url, silver_s3_uri,
+    CASE WHEN hit > 0 THEN substring(fragment, 1, 120) ELSE substring(d.text, 1, 120) END AS snippet
+  FROM found f JOIN silver d USING (content_hash) LEFT JOIN shown s ON s.query_id = f.query_id AND s.content_hash = f.content_hash)"""
 
 LEXICAL_BRANCH = (QUESTIONS, _rewritten("questions", "question"), _bm25("lexical_query", "rewritten", "silver", DEPTH), HITS)
 VECTOR_BRANCH = (QUESTION_VECTORS, CHUNKS, CHUNK_VECTORS, _cosine(DEPTH))

@@ -135,3 +135,26 @@ def test_snippets(spark):
     assert got[1] == "court"
     clean = values(spark, text.clean_snippet(F.col("x")), [("<em>a</em>\n  b",), ("x" * 130,)])
     assert clean == ["a b", "x" * 120 + "…"]
+
+
+@pytest.mark.parametrize(
+    "body,terms,expected",
+    [
+        ("One word here. Two rare words, the rarest! The end.", ["rarest", "words", "end"], "Two rare words, the rarest!"),
+        ("a b. a b. b a.", ["a", "b"], "a b."),
+        ("plain", ["absent"], "plain"),
+        ("", ["x"], ""),
+        (None, ["x"], None),
+        (" ".join(f"w{i}" for i in range(45)) + ".", ["w41"], "w40 w41 w42 w43 w44."),
+        ("long" * 50 + " tail", ["tail"], ("long" * 50 + " tail")[:120]),
+        ("\n\n...!\nx", ["x"], "x"),
+    ],
+)
+def test_best_fragment(spark, body, terms, expected):
+    row = spark.createDataFrame([(body, terms)], "x string, t array<string>").select(text.best_fragment(F.col("x"), F.col("t")).alias("f")).first()
+    assert row["f"] == expected
+
+
+def test_fragments_meet_terms_by_their_stems(spark):
+    row = spark.createDataFrame([("No one. They were running. End.", ["run"])], "x string, t array<string>")
+    assert row.select(text.best_fragment(F.col("x"), F.col("t"), "en").alias("f")).first()["f"] == "They were running."
