@@ -8,6 +8,7 @@ not read, and of the others only the stretch of angles that some query may still
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -66,7 +67,8 @@ class VectorIndex:
 
     @property
     def vectors(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/vectors")
+        layout = self.spark.read.parquet(f"{self.path}/layout").first()["columns"]
+        return self.spark.read.schema(T.StructType.fromJson(json.loads(layout))).parquet(f"{self.path}/vectors")
 
     @property
     def cells(self) -> DataFrame:
@@ -104,10 +106,10 @@ class VectorIndex:
             vectors.mapInArrow(place, kinds).hint("rebalance", "cell").sortWithinPartitions("cell", "away", key)
             .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("cell").parquet(f"{path}/vectors")
         )
+        spark.createDataFrame([(kinds.json(),)], "columns string").write.mode("overwrite").parquet(f"{path}/layout")
         self = cls(spark, path, key, column)
         centroid = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(places)] + [(NO_DIRECTION, None)], "cell int, centroid array<double>")
-        stored = spark.read.schema(kinds).parquet(f"{path}/vectors")
-        held = stored.groupBy("cell").agg(F.min("away").alias("nearest"), F.max("away").alias("farthest"), F.count("*").alias("n"))
+        held = self.vectors.groupBy("cell").agg(F.min("away").alias("nearest"), F.max("away").alias("farthest"), F.count("*").alias("n"))
         centroid.join(held, "cell").coalesce(1).write.mode("overwrite").parquet(f"{path}/cells")
         return self
 
