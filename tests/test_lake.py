@@ -430,3 +430,33 @@ def test_replacing_chunks_leaves_no_tail(spark, home):
     for _ in range(2):
         assert sorted(r.chunk_id for r in store.current().collect()) == ["g:0", "g:1", "h:0"]
         store.compact()
+
+
+def test_objects_lie_by_source_and_day(spark, tmp_path):
+    layer = lake.ObjectLayer(spark, str(tmp_path / "silver"))
+    at = lambda day: F.to_timestamp(F.lit(f"2026-09-0{day} 00:00:00"))
+    uri = "s3://lake/silver/source={}/dt={}/{}.json".format
+    rows = [(uri(f, f"2026-08-{d}", "a"), "a", "{}") for f in ("7", "b") for d in range(10, 20)] + [("s3://lake/elsewhere", "z", "{}")]
+    schema = "uri string, content_hash string, raw_json string"
+    wanted = spark.createDataFrame([(rows[0][0],), (None,), ("",), (uri("7", "2026-08-10", "x"),), ("s3://lake/elsewhere",)], "uri string")
+    assert layer.current().isEmpty() and layer.current_for(wanted).isEmpty()
+    for _ in range(2):  # a repeated run
+        layer.write(spark.createDataFrame(rows, schema), at(1), "first")
+    assert layer.versions().count() == 21
+    layer.write(spark.createDataFrame([(rows[0][0], "a", "new")], schema), at(2), "later")
+    layer.write(spark.createDataFrame([(rows[0][0], "a", "old")], schema), at(1), "again")
+    assert layer.versions().count() == 23 and layer.current().count() == 21
+    found = layer.current_for(wanted)
+    assert {(r.uri, r.raw_json, r.source, r.dt) for r in found.collect()} == {
+        (rows[0][0], "new", "7", "2026-08-10"), ("s3://lake/elsewhere", "{}", "none", "none"),
+    }
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+    assert layer.current_for(wanted.limit(0)).isEmpty()
+
+
+def test_a_repeated_layer_write_replaces_itself(spark, sf, tmp_path):
+    known = lake.identified(tables.entries(spark, sf), F.to_timestamp_ntz(F.lit("2026-08-31 00:00:00")))
+    rows = known.withColumn("raw_json", lake.bronze_json(known, F.lit("2026-08-31")))
+    for run in ("a", "a", "b"):
+        lake.write_layer(rows, "bronze", str(tmp_path / "bronze"), run)
+    assert lake.read_layer(spark, str(tmp_path / "bronze")).count() == 2 * rows.count()
