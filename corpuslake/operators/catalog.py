@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpuslake.functions.keys import blank_to_null, first_filled, uri_key
 from corpuslake.operators.dedup import first_per_key
-from corpuslake.operators.joins import lookup
+from corpuslake.operators.joins import lookup, wanted_only
 from corpuslake.session import broadcast_if_small
 from corpuslake.settings import (
     PAGE_LIMIT_DEFAULT,
@@ -76,6 +76,18 @@ def page(
     )
 
 
+def page_with_total(
+    catalog: DataFrame,
+    feed_id: str | None = None,
+    status: str | None = None,
+    limit: int = PAGE_LIMIT_DEFAULT,
+    offset: int = 0,
+) -> DataFrame:
+    """A page whose rows carry the ``total`` of matching rows, counted in the same job."""
+    total = count_rows(catalog, feed_id=feed_id, status=status)
+    return page(catalog, feed_id, status, limit, offset).withColumn("total", total.scalar())
+
+
 def count_rows(catalog: DataFrame, **equals) -> DataFrame:
     return matching(catalog, **equals).agg(F.count("*").alias("total"))
 
@@ -178,10 +190,11 @@ def read_silver(
         blank_to_null(F.trim("content_hash")).alias("_hash"),
         blank_to_null(F.trim("silver_s3_uri")).alias("_uri"),
     )
+    # Few requests meet a large catalog and large texts: both are cut to what is wanted first.
+    held = wanted_only(catalog.withColumnRenamed("content_hash", "_hash"), wanted, "_hash")
     # Two feeds may carry the same item, hence the same hash: serve the first row.
-    known = first_per_key(catalog, ["content_hash"], F.col("id")).select(
-        F.col("content_hash").alias("_hash"),
-        F.struct("title", "url", "feed_id", "status", "silver_s3_uri").alias("_row"),
+    known = first_per_key(held, ["_hash"], F.col("id")).select(
+        "_hash", F.struct("title", "url", "feed_id", "status", "silver_s3_uri").alias("_row")
     )
     located = lookup(wanted, known, "_hash").withColumn(
         "_at", F.coalesce("_uri", F.col("_row.silver_s3_uri"))
@@ -206,7 +219,7 @@ def read_silver(
     )
     doc = lambda name: F.when(F.col("error").isNull(), F.col(f"_doc.{name}"))
     return (
-        lookup(located, bodies, "_at")
+        lookup(located, wanted_only(bodies, located, "_at"), "_at")
         .withColumn("error", error)
         .select(
             "request_id",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from corpuslake.functions import contracts as rules
 from corpuslake.functions import stems, text
 from corpuslake.operators import answers
@@ -291,6 +293,7 @@ hits AS (
   FROM found f JOIN silver d USING (content_hash) LEFT JOIN shown s ON s.query_id = f.query_id AND s.content_hash = f.content_hash)"""
 
 LEXICAL_BRANCH = (QUESTIONS, _rewritten("questions", "question"), _bm25("lexical_query", "rewritten", "silver", DEPTH), HITS)
+GERMAN_NEAR = re.sub(r"\b(pairs|near_all|near)\b", r"\1_de", _cosine(DEPTH, "WHERE content_lang = 'de'"))
 VECTOR_BRANCH = (QUESTION_VECTORS, CHUNKS, CHUNK_VECTORS, _cosine(DEPTH))
 
 LEXICAL_PASSAGES = """
@@ -364,11 +367,11 @@ routed AS (
   FROM questions LEFT JOIN texts USING (query_id) LEFT JOIN generated USING (query_id)),
 scores AS (
   SELECT case_id, difficulty, expect, n_passages > 0 AS retrieve_nonempty, n_passages = 0 AS refused,
-    n_passages > 0 AS has_citation,
-    CASE WHEN expect = 'refuse' THEN n_passages = 0 ELSE n_passages > 0 END AS ok,
+    cites AS has_citation,
+    CASE WHEN expect = 'refuse' THEN n_passages = 0 ELSE n_passages > 0 AND cites END AS ok,
     CASE WHEN expect = 'refuse' THEN CASE WHEN n_passages = 0 THEN 'refused' ELSE 'passages found' END
-      WHEN n_passages = 0 THEN 'nothing retrieved' ELSE 'grounded with citation' END AS reason
-  FROM cases JOIN routed ON case_id = query_id)""",
+      WHEN n_passages = 0 THEN 'nothing retrieved' WHEN NOT cites THEN 'no citation' ELSE 'grounded with citation' END AS reason
+  FROM cases JOIN (SELECT *, contains(answer, '[1]') OR contains(answer, 'Sources {LAKE_NAME}') AS cites FROM routed) ON case_id = query_id)""",
 )
 
 MUTATED = f"""
@@ -568,6 +571,13 @@ FROM articles GROUP BY feed_id"""),
     "articles_page": _with(*CATALOG, select=f"""
 SELECT {PAGE_COLUMNS} FROM (
   SELECT * FROM articles WHERE status = 'indexed' ORDER BY articles.fetched_at DESC, id DESC LIMIT 50 OFFSET 100)"""),
+    "articles_page_total": _with(*CATALOG, select=f"""
+SELECT {PAGE_COLUMNS}, total FROM (
+  SELECT *, count(*) OVER () AS total FROM articles WHERE feed_id = 'src2' ORDER BY articles.fetched_at DESC, id DESC LIMIT 20 OFFSET 5)"""),
+    "article_lookups": _with(*CATALOG, select="""
+SELECT how, feed_id, title, url, status FROM articles, unnest(['id', 'content_hash']) AS u(how) WHERE id = 5"""),
+    "layer_written": _with(ENTRIES, select="""
+SELECT feed_id AS source, dt, count(*) AS n, count(DISTINCT content_hash) AS n_hashes FROM entries GROUP BY ALL"""),
     "recent_articles": _with(*CATALOG, select="""
 SELECT id, feed_id, url, title, status FROM articles ORDER BY fetched_at DESC, id DESC LIMIT 5"""),
     "articles_to_parse": _with(*CATALOG, select=f"""
@@ -769,6 +779,14 @@ SELECT query_id, rank, chunk_id, score, md5(text) AS digest FROM near JOIN chunk
 SELECT 'given' AS origin, len(embedding) AS dims, count(*) AS n FROM embeddings GROUP BY ALL
 UNION ALL SELECT 'encoded', {EMBEDDING_DIMS}, count(*) FROM chunks"""),
     "rrf_fusion": _with(*_hybrid(20, 0, *BOTH), select=SHOWN),
+    "rrf_merged": _with(*DOCS, QUESTIONS, *VECTOR_BRANCH, GERMAN_NEAR, """
+merged AS (
+  SELECT query_id, chunk_id, round(sum(1.0::DOUBLE / (60 + rank)), 9) AS score, min(list * 1000000 + rank) AS first_at,
+    string_agg(source, '+' ORDER BY list) AS sources, nullif(max(score), 0) AS vector_score
+  FROM (SELECT *, 1 AS list, 'vector' AS source FROM near UNION ALL SELECT *, 2, 'german' FROM near_de) GROUP BY ALL),
+placed AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, first_at) AS rank FROM merged)""", select="""
+SELECT query_id, rank, content_hash, chunk_index, sources, score, NULL::DOUBLE AS lexical_score, vector_score, text
+FROM placed JOIN chunks USING (chunk_id) WHERE rank <= 20"""),
     "relevance_gate": _with(*_hybrid(20, 0.3, *BOTH), select=SHOWN),
     "hybrid_retrieve": _with(*_hybrid(10, 0.2, *BOTH), select=SHOWN),
     "vector_only_retrieve": _with(*_hybrid(10, 0, "vector"), select=SHOWN),
@@ -800,6 +818,14 @@ SELECT 'hashing' AS model, {EMBEDDING_DIMS} AS vector_size, 4 AS k, 'benchmark'
 FROM hits_"""),
     "recall_cases": _with(*STRICT, CASES, select="""
 SELECT case_id, expect, case_id IN (SELECT query_id FROM gated) AS hit FROM cases"""),
+    "baseline_check": _with(*STRICT, CASES, """
+reports AS (
+  SELECT gate, coalesce(count(*) FILTER (expect = 'grounded' AND case_id IN (SELECT query_id FROM gated WHERE vector_score >= gate))
+    / nullif(count(*) FILTER (expect = 'grounded'), 0), 0) AS recall FROM cases, unnest([0.3, 0.5]) AS g(gate) GROUP BY gate)""", select=f"""
+SELECT 'benchmark' AS eval_set, 'hashing ' || r.gate AS model, round(r.recall, 6) AS recall_at_k, 'hashing 0.3' AS baseline_model,
+  round(b.recall, 6) AS baseline_recall, r.recall < b.recall AS worse,
+  CASE WHEN r.recall < b.recall THEN 'roll back to hashing 0.3 ({EMBEDDING_DIMS} dimensions), then embed again' ELSE 'keep' END AS advice
+FROM reports r JOIN reports b ON b.gate = 0.3"""),
     "last_user_message": r"""
 SELECT conv_id, arg_max(t, turn) FILTER (role = 'user' AND t <> '') AS question,
   CASE WHEN count(*) FILTER (role = 'user' AND t <> '') = 0 THEN 'no user message' END AS error

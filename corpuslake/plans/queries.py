@@ -31,9 +31,9 @@ from corpuslake.operators import (
 from corpuslake.plans import stages
 from corpuslake.plans import tables as t
 from corpuslake.schemas import struct
-from corpuslake.session import shared_folder, spread
+from corpuslake.session import shared_folder, spread, written
 from corpuslake.settings import ANALYZED_LANGS, EMBEDDING_DIMS, TOP_K_DEFAULT, RetrievalSettings
-from corpuslake.sources import bus, feeds, lake
+from corpuslake.sources import bus, evalset, feeds, lake
 from corpuslake.sources import tables as stores
 from corpuslake.streaming import ingest as streams
 
@@ -122,6 +122,20 @@ def articles_page(spark, sf):
     return page.select(*[_day(c) if c.endswith("_at") else F.col(c) for c in catalog.PAGE_COLUMNS])
 
 
+def articles_page_total(spark, sf):
+    """A page of one feed's articles with the number of all of them."""
+    page = catalog.page_with_total(t.articles(spark, sf), feed_id="src2", limit=20, offset=5)
+    return page.select(*[_day(c) if c.endswith("_at") else F.col(c) for c in catalog.PAGE_COLUMNS], "total")
+
+
+def article_lookups(spark, sf):
+    """One article by its number and the same by its content hash."""
+    a = t.articles(spark, sf)
+    digest = a.filter("id = 5").select("content_hash").scalar()
+    named = lambda rows, how: rows.select(F.lit(how).alias("how"), "feed_id", "title", "url", "status")
+    return named(catalog.by_id(a, 5), "id").unionByName(named(catalog.by_content_hash(a, digest), "content_hash"))
+
+
 def recent_articles(spark, sf):
     return catalog.recent(t.articles(spark, sf), 5).select("id", "feed_id", "url", "title", "status")
 
@@ -381,6 +395,18 @@ def gold_write_read(spark, sf):
     return gold.partition_counts(gold.read_gold(spark, folder))
 
 
+def layer_written(spark, sf):
+    """Bronze objects written by source and day, twice under one name, and read back by their paths."""
+    known = lake.identified(t.entries(spark, sf), _now())
+    rows, folder = known.withColumn("raw_json", lake.bronze_json(known, F.lit(NOW))), shared_folder(spark, "layer")
+    for _ in range(2):
+        lake.write_layer(rows, "bronze", folder, "bronze")
+    back = lake.read_layer(spark, folder)
+    return back.groupBy(keys.path_value(F.col("path"), "source").alias("source"), keys.path_value(F.col("path"), "dt").alias("dt")).agg(
+        F.count("*").alias("n"), F.countDistinct(F.get_json_object("raw_json", "$.content_hash")).alias("n_hashes")
+    )
+
+
 # --- bus ----------------------------------------------------------------------
 
 
@@ -797,6 +823,18 @@ def rrf_fusion(spark, sf):
     return _shown(fusion.fuse(_branches(spark, sf), limit=20))
 
 
+def rrf_merged(spark, sf):
+    """Fusion of the nearest chunks of all languages and of one, which have passages in common."""
+    wanted, stored = encode.encode(t.questions(spark, sf), "question"), t.stored_chunks(spark, sf)
+
+    def near(lang: str | None) -> DataFrame:
+        found = vector.cosine_top_k(wanted, stored, DEPTH, lang=lang)
+        return fusion.vector_passages(vector.with_payload(found, stored))
+
+    german = near("de").withColumns({"list": F.lit(2), "source": F.lit("german")})
+    return _shown(fusion.fuse(near(None).unionByName(german), limit=20))
+
+
 def relevance_gate(spark, sf):
     return _shown(fusion.relevant(fusion.fuse(_branches(spark, sf), limit=20), 0.3))
 
@@ -884,6 +922,28 @@ def recall_cases(spark, sf):
     return evaluation.case_hits(t.eval_cases(spark, sf), found)
 
 
+def baseline_check(spark, sf):
+    """Two recall reports over stored cases against the registered baseline, which one of them is."""
+    folder, params = shared_folder(spark, "baseline"), evalset.embed_params({"top_k": TOP_K_DEFAULT})
+    t.eval_cases(spark, sf).write.json(f"{folder}/cases")
+    cases = evalset.read_eval_cases(spark, f"{folder}/cases")
+    found = written(
+        _passages(spark, sf, top_k=params["top_k"], lexical=False, min_vector_score=0.3)
+        .select(F.col("query_id").cast("string").alias("query_id"), "vector_score"), "found",
+    )
+    for gate in (0.3, 0.5):
+        report, _ = evaluation.evaluate_recall(
+            cases, lambda _, gate=gate: found.filter(F.col("vector_score") >= gate), model=f"{params['model']} {gate}",
+            vector_size=params["vector_size"], k=params["top_k"], eval_set="benchmark",
+        )
+        evalset.write_report(report, f"{folder}/reports/gate={gate}")
+    reports = spark.read.json(f"{folder}/reports")
+    evalset.register(reports.filter("gate = 0.5"), f"{folder}/registry", "2024-01-01")
+    evalset.register(reports.filter("gate = 0.3"), f"{folder}/registry", "2024-01-02")
+    judged = evaluation.against_baseline(reports, evalset.read_registry(spark, f"{folder}/registry"))
+    return judged.withColumns({c: F.round(c, 6) for c in ("recall_at_k", "baseline_recall")})
+
+
 def last_user_message(spark, sf):
     return answers.last_user_message(t.read(spark, sf, "conversations"))
 
@@ -1019,6 +1079,7 @@ QUERIES = {
         sources_footer, answer_routing, case_scores, eval_summary, recall_report, recall_cases,
         last_user_message, answer_citations, stream_dedup, stream_upsert, stream_replay,
         published_dates, landed_feeds, feed_dialects, silver_build, stream_bus, stages_run, stages_resumed,
-        stream_earliest, stream_in_order, stream_run_log, stages_limited,
+        stream_earliest, stream_in_order, stream_run_log, stages_limited, articles_page_total, article_lookups,
+        layer_written, rrf_merged, baseline_check,
     )
 }

@@ -137,3 +137,15 @@ def test_a_hot_key_is_cut_down_before_the_shuffle(spark):
     plan = dedup.first_per_key(df, ["k"], F.col("n"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
     assert dedup.first_per_key(df, ["k"], F.col("n")).first().n == 0
+
+
+def test_page_totals_do_not_depend_on_the_page(spark):
+    rows = spark.range(7).selectExpr(
+        "id", "if(id < 5, 'a', 'b') AS feed_id", "'t' AS title", "string(id) AS url", "'parsed' AS status", "'h' AS content_hash",
+        "'i' AS item_key", "'s' AS s3_uri", "'s' AS silver_s3_uri", "timestamp_seconds(id) AS published_at", "timestamp_seconds(id) AS fetched_at",
+        "timestamp_seconds(id) AS updated_at", "'fr' AS feed_lang", "'fr' AS content_lang",
+    )
+    for offset, ids in ((0, [4, 3]), (4, [0]), (9, [])):
+        page = catalog.page_with_total(rows, feed_id="a", limit=2, offset=offset).collect()
+        assert [r.id for r in page] == ids and {r.total for r in page} <= {5}
+    assert catalog.page_with_total(rows, feed_id="none").collect() == []

@@ -45,3 +45,21 @@ def test_scores_are_picked_before_the_query_shuffle(spark, sf):
 def test_pages_skip_what_they_do_not_show(spark, sf):
     plan = plan_of(entry.queries()["recent_articles"](spark, sf))
     assert "TakeOrderedAndProject" in plan
+
+
+def test_summaries_are_extracted_once(spark, sf):
+    """The branches of the cascade read stored summaries; only the pages are extracted in its plan."""
+    plan = plan_of(entry.queries()["text_source_cascade"](spark, sf))
+    assert "_summary" in plan and "Scan parquet" in plan and "<p>" not in plan
+
+
+def test_read_requests_cut_catalog_and_texts_first(spark, sf):
+    plan = plan_of(entry.queries()["read_silver"](spark, sf))
+    # One for the catalog, inside which no window runs before it, and one for the texts.
+    assert plan.count("LeftSemi") >= 2
+    assert plan.index("Window [row_number()") < plan.index("LeftSemi")
+
+
+def test_a_page_and_its_total_are_one_plan(spark, sf):
+    plan = plan_of(entry.queries()["articles_page_total"](spark, sf))
+    assert "Subquery subquery#" in plan and "Join" not in plan
