@@ -197,3 +197,12 @@ def test_mixing_of_awkward_rows(spark, awkward, nothing):
         assert len(rows) == awkward.count() and all(r["rate"] >= 0 for r in rows)
         assert {r["n_tokens"] for r in rows if not r["text"]} == {0}
     assert mixture.mix(nothing, model, mixture.TARGETS).count() == 0
+
+
+@pytest.mark.parametrize("largest", [1, 200, 60_000, 3_000_000_000, 2**40])
+@pytest.mark.parametrize("filled", [1, 40, 900, 1_000])
+def test_blocks_of_counts_come_back_whole(largest, filled):
+    block = np.zeros(1_000, np.int64)
+    block[np.random.default_rng(filled).choice(1_000, filled, replace=False)] = np.linspace(1, largest, filled).astype(np.int64)
+    block[block.argmax()] = largest
+    assert (lm.unpacked(lm.packed(block), len(block)) == block).all()
