@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from corpuslake.operators.best import TaskBest
 from corpuslake.operators.lexical import top_k
-from corpuslake.operators.vector import list_matrix, unit_rows
+from corpuslake.operators.vector import list_matrix, product_rows, unit_rows
 from corpuslake.session import shared_folder, written
 from corpuslake.settings import SCORE_DIGITS
 
@@ -30,7 +30,6 @@ MAX_SAMPLE, MAX_CELLS, FIT_ROUNDS = 10_000, 4_096, 6
 PROBED = 2
 #: Vectors without direction score zero with every query and have a cell of their own.
 NO_DIRECTION = -1
-ROWS_PER_PRODUCT = 4_096
 #: The driver holds some numbers per query of a block and cell.
 QUERIES_PER_SEARCH = 1_024
 #: Angles are rounded in floating point by less than this.
@@ -78,10 +77,12 @@ class VectorIndex:
     def write(cls, vectors: DataFrame, path: str, key: str = "chunk_id", column: str = "embedding", cells: int | None = None) -> VectorIndex:
         """Store ``vectors``, whose ``column`` has one length, in place of any other; null vectors are left out.
 
-        Without ``cells`` there are about as many as the square root of the rows.
+        Without ``cells`` there are about as many as the square root of the rows. The
+        vectors are stored first, for they are counted, sampled and placed, and making
+        them may be most of the work.
         """
         spark = vectors.sparkSession
-        vectors = vectors.filter(F.col(column).isNotNull())
+        vectors = written(vectors.filter(F.col(column).isNotNull()), "vectors-made")
         cells = min(MAX_CELLS, cells or max(1, int(vectors.count() ** 0.5)))
         sample = vectors.select(column).orderBy(F.xxhash64(key), key).limit(MAX_SAMPLE).toArrow().column(column).combine_chunks()
         sample = sample if isinstance(sample, pa.Array) else pa.concat_arrays(sample.chunks)
@@ -90,9 +91,10 @@ class VectorIndex:
         shared = spark.sparkContext.broadcast(places)
 
         def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            step = product_rows(len(shared.value))
             for batch in batches:
-                for at in range(0, batch.num_rows, ROWS_PER_PRODUCT):
-                    part = batch.slice(at, ROWS_PER_PRODUCT)
+                for at in range(0, batch.num_rows, step):
+                    part = batch.slice(at, step)
                     rows = unit_rows(list_matrix(part.column(column), dims))
                     near = rows @ shared.value.T if len(shared.value) else np.zeros((len(rows), 1))
                     cell = near.argmax(1)
@@ -139,14 +141,14 @@ def _best(index: VectorIndex, pairs: dict[int, list[int]], queries: tuple, k: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, wanted, of = shared.value
-        best, kind = TaskBest(ids, k), None
+        best, kind, step = TaskBest(ids, k), None, product_rows(len(ids))
         for batch in batches:
             kind = batch.schema.field(key).type
             cells = batch.column("cell").to_numpy()
             for cell in np.unique(cells).tolist():
                 own = np.flatnonzero(cells == cell)
-                for at in range(0, len(own), ROWS_PER_PRODUCT):
-                    part = batch.take(pa.array(own[at : at + ROWS_PER_PRODUCT]))
+                for at in range(0, len(own), step):
+                    part = batch.take(pa.array(own[at : at + step]))
                     scores = np.full((part.num_rows, len(ids)), -np.inf)
                     near = unit_rows(list_matrix(part.column(column), wanted.shape[1])) @ wanted[of[cell]].T
                     scores[:, of[cell]] = np.round(near, SCORE_DIGITS) + 0.0
